@@ -185,3 +185,44 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
         e = materialize(small.unionByName(least.select("a", F.col("m").alias("b"))).distinct(), tag)
+
+
+class Memory:
+    """A bounded dictionary of two generations: what a slice needs is young; once the young exceed the size, they become
+    the old and the old are forgotten."""
+
+    def __init__(self, size: int):
+        self.size, self.young, self.old = size, {}, {}
+
+    def missing(self, keys: set[str]) -> list[str]:
+        """Makes the known of these keys young; returns the others."""
+        if len(self.young) > self.size:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        gone = []
+        for k in keys:
+            if k not in young:
+                if (v := old.get(k)) is not None:
+                    young[k] = v
+                else:
+                    gone.append(k)
+        return gone
+
+    def add(self, found: dict[str, bytes]) -> None:
+        self.young.update(found)
+
+
+#: Characters that are encoded at a time, so that memory doesn't grow with a batch.
+SLICE_CHARS = 2_000_000
+
+
+def slices(texts: pa.Array) -> Iterator[list[str | None]]:
+    part, size = [], 0
+    for t in texts:
+        part.append(x := t.as_py())
+        size += len(x or "")
+        if size >= SLICE_CHARS:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
-from . import simhash
+from . import bpe, decontaminate, licenses, quality, simhash, token_files
 
-QUERIES = {"op1_simhash": simhash.op1_simhash}
+QUERIES = {
+    "op1_simhash": simhash.op1_simhash,
+    "op2_quality_rules": quality.op2_quality_rules,
+    "op6_token_files": token_files.op6_token_files,
+    "op7_license_scan": licenses.op7_license_scan,
+    "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op10_decontamination": decontaminate.op10_decontamination,
+}
 ORACLE_SQL: dict[str, str] = {}
