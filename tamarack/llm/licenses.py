@@ -58,15 +58,15 @@ NAMES = {
     "bsl-1": ["boost(?: software)?(?: license)?(?: version)? 1(?: 0)?", "bsl 1 0"],
     "unlicense": ["unlicense"],
     "wtfpl": ["wtfpl", "do what the fuck you want to(?: public license)?"],
-    "gpl-1": ["gpl(?: version)?(?: v)? ?1(?: 0)?", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?1(?: 0)?"],
-    "gpl-2": ["gpl(?: version)?(?: v)? ?2(?: 0)?", "gplv2", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?2(?: 0)?"],
-    "gpl-3": ["gpl(?: version)?(?: v)? ?3(?: 0)?", "gplv3", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?3(?: 0)?"],
+    "gpl-1": ["gpl(?: licen[cs]e)?(?: version)?(?: v)? ?1(?: 0)?", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?1(?: 0)?"],
+    "gpl-2": ["gpl(?: licen[cs]e)?(?: version)?(?: v)? ?2(?: 0)?", "gplv2", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?2(?: 0)?"],
+    "gpl-3": ["gpl(?: licen[cs]e)?(?: version)?(?: v)? ?3(?: 0)?", "gplv3", "gnu (?:general public license|gpl)(?: version)?(?: v)? ?3(?: 0)?"],
     "gpl": ["gnu general public", "gpl"],
-    "lgpl-2": ["lgpl(?: version)?(?: v)? ?2(?: 0)?", "gnu library general public license(?: version)?(?: v)? ?2(?: 0)?"],
-    "lgpl-2.1": ["lgpl(?: version)?(?: v)? ?2 1", "lgplv2 1", "gnu lesser general public license(?: version)?(?: v)? ?2 1"],
-    "lgpl-3": ["lgpl(?: version)?(?: v)? ?3(?: 0)?", "lgplv3", "gnu lesser general public license(?: version)?(?: v)? ?3(?: 0)?"],
+    "lgpl-2": ["lgpl(?: licen[cs]e)?(?: version)?(?: v)? ?2(?: 0)?", "gnu library general public license(?: version)?(?: v)? ?2(?: 0)?"],
+    "lgpl-2.1": ["lgpl(?: licen[cs]e)?(?: version)?(?: v)? ?2 1", "lgplv2 1", "gnu lesser general public license(?: version)?(?: v)? ?2 1"],
+    "lgpl-3": ["lgpl(?: licen[cs]e)?(?: version)?(?: v)? ?3(?: 0)?", "lgplv3", "gnu lesser general public license(?: version)?(?: v)? ?3(?: 0)?"],
     "lgpl": ["gnu lesser general public", "gnu library general public", "lgpl"],
-    "agpl-3": ["agpl(?: version)?(?: v)? ?3(?: 0)?", "agplv3", "gnu affero general public license(?: version)?(?: v)? ?3(?: 0)?"],
+    "agpl-3": ["agpl(?: licen[cs]e)?(?: version)?(?: v)? ?3(?: 0)?", "agplv3", "gnu affero general public license(?: version)?(?: v)? ?3(?: 0)?"],
     "agpl": ["gnu affero general public", "affero general public", "agpl"],
     "gfdl": ["gnu free documentation", "gfdl"],
     "mpl-1.1": ["mpl(?: version)? 1 1", "mozilla public license(?: version)? 1 1"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, decontaminate, licenses, quality, simhash, token_files
+from . import bpe, decontaminate, licenses, quality, simhash, token_files, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -10,6 +10,7 @@ QUERIES = {
     "op6_token_files": token_files.op6_token_files,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,
+    "op9_warc": warc.op9_warc,
     "op10_decontamination": decontaminate.op10_decontamination,
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -259,7 +259,7 @@ def write_files(encoded: DataFrame, folder: str, dtype: str, n_symbols: int, fil
         yield pa.RecordBatch.from_pydict({"number": [number], "path": [final], "n": [total]})
 
     ordered = encoded.repartitionByRange(n_files, F.col("id").asc()).sortWithinPartitions("id", "ids")
-    made = ordered.mapInArrow(write, "number int, path string, n bigint").collect()
+    made = ordered.mapInArrow(write, "number bigint, path string, n bigint").collect()
     return sorted((r["number"], r["path"], r["n"]) for r in made)
 
 
@@ -313,7 +313,7 @@ def read_files(spark: SparkSession, folder: str, files: list[tuple[int, str, int
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["id", "start", "n_tokens", "ids_crc32"])
 
-    frame = spark.createDataFrame(rows, "number int, path string, start bigint").repartition(max(1, len(rows)), "number")
+    frame = spark.createDataFrame(rows, "number bigint, path string, start bigint").repartition(max(1, len(rows)), "number")
     return frame.mapInArrow(read, "id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
