@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, chunks, decontaminate, licenses, lines, quality, simhash, token_files, warc
+from . import bpe, chunks, decontaminate, licenses, lines, quality, simhash, suffixes, token_files, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
     "op2_quality_rules": quality.op2_quality_rules,
     "op3_substring_dedup": chunks.op3_substring_dedup,
     "op4_line_dedup": lines.op4_line_dedup,
+    "op5_suffix_dedup": suffixes.op5_suffix_dedup,
     "op6_token_files": token_files.op6_token_files,
     "op7_license_scan": licenses.op7_license_scan,
     "op8_byte_bpe": bpe.op8_byte_bpe,
