@@ -7,6 +7,7 @@ from html import unescape
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MIN_LEN_TO_DETECT = 50
 
@@ -28,7 +29,7 @@ def squeeze(text: Column) -> Column:
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
-@F.arrow_udf("string")
+@F.arrow_udf(StringType())
 def _unescape(texts: pa.Array) -> pa.Array:
     return pa.array([None if (t := x.as_py()) is None else unescape(t) if "&" in t else t for x in texts], pa.string())
 
