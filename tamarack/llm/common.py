@@ -9,7 +9,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most rows that one comparison cell of a bucket takes; larger buckets are dealt to several cells.
@@ -140,8 +140,8 @@ def bucket_cells(fps: DataFrame, fp: str, masks: list[int], cell_rows: int = CEL
     Returns the columns and __t, __k, __c (table, bucket, cell), sorted by these in each partition."""
     rows = fps.withColumn("__b", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(fp).bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)])))
     rows = rows.select(*fps.columns, F.col("__b.t").alias("__t"), F.col("__b.k").alias("__k"))
-    sizes = rows.groupBy("__t", "__k").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
-    rows = rows.join(sizes, ["__t", "__k"])
+    # counted where the bucket's rows stand: one shuffle; the count streams and spills, the bucket is never held
+    rows = rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__t", "__k"))).where("__n > 1")
     chunks = F.ceil(F.col("__n") / cell_rows).cast("long")
     own = F.pmod(F.xxhash64(F.col(fp), F.lit(7)), chunks)
     pair = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda j: F.least(own, j) * chunks + F.greatest(own, j))
