@@ -194,9 +194,9 @@ class Memory:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def missing(self, keys: set[str]) -> list[str]:
-        """Makes the known of these keys young; returns the others."""
-        if len(self.young) > self.size:
+    def missing(self, keys: set[str], turn: bool = True) -> list[str]:
+        """Makes the known of these keys young; returns the others. turn: the young may become the old before that."""
+        if turn and len(self.young) > self.size:
             self.young, self.old = {}, self.young
         young, old = self.young, self.old
         gone = []

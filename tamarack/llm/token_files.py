@@ -26,6 +26,7 @@ import os
 import struct
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import cache
 
@@ -39,7 +40,7 @@ from .common import Memory, materialize, scratch, slices, table
 
 MAGIC = b"TMKHUF01"
 MAX_BITS, BLOCK, STEP = 16, 1 << 18, 128
-FILE_TOKENS, END_ID, CACHE = 4_000_000, 2, 300_000
+FILE_TOKENS, END_ID, CACHE = 4_000_000, 2, 500_000
 _MARKS = frozenset(".,;:!?")
 
 
@@ -58,25 +59,30 @@ class WordEncoder:
         self.size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.words = Memory(cache_size)
+        self.model, self.code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
+
+    def library(self, words: list[str]) -> dict[str, bytes]:
+        """Ids from the library. For ASCII letters its normalisation is lower case and its cuts and byte letters change
+        nothing, so these go to its model at once."""
+        tokenize, code = self.model.tokenize, self.code
+        plain = [w for w in words if w.isascii() and w.isalpha()]
+        other = [w for w in words if not (w.isascii() and w.isalpha())]
+        out = {w: array(code, [t.id for t in tokenize(w.lower())]).tobytes() for w in plain}
+        out.update((w, array(code, e.ids).tobytes()) for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True))
+        return out
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         split = [(t or "").replace("\n", " ").split(" ") for t in texts]
         known = self.words
+        new = known.missing(set().union(*split))
         # letters and a mark after them are pieces of their own, so the word without it serves
-        marked, plain = {}, set()
-        for w in {w for s in split for w in s}:
-            if w[-1:] in _MARKS and w[:-1].lower().isalpha():
-                marked[w] = w[:-1], w[-1]
-                plain.update(marked[w])
-            else:
-                plain.add(w)
-        new = known.missing(plain)
-        found = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        known.add({w: np.array(e.ids, self.dtype).tobytes() for w, e in zip(new, found, strict=True)})
+        marked = [w for w in new if w[-1:] in _MARKS and w[:-1].lower().isalpha()]
+        parts = {w[:-1] for w in marked} | {w[-1] for w in marked}
+        known.add(self.library(known.missing(parts.union(new).difference(marked), turn=False)))
         ids = known.young
-        get = {w: ids[a] + ids[b] for w, (a, b) in marked.items()}
-        get |= {w: ids[w] for w in plain}
-        return [b"".join(map(get.__getitem__, s)) for s in split]
+        known.add({w: ids[w[:-1]] + ids[w[-1]] for w in marked})
+        get = ids.__getitem__
+        return [b"".join(map(get, s)) for s in split]
 
 
 @cache
