@@ -133,6 +133,14 @@ def block_masks(n_blocks: int, max_bits: int, bits: int = 64) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
+def first_meeting(differ: np.ndarray, of_table: np.ndarray, masks: list[int]) -> np.ndarray:
+    """Whether pairs that differ in these bits meet in no table before their own: each pair is then looked at once."""
+    out = np.ones(len(differ), bool)
+    for t, m in enumerate(masks):
+        out &= (of_table <= t) | (differ & np.uint64(m & (1 << 64) - 1) != 0)
+    return out
+
+
 def bucket_cells(fps: DataFrame, fp: str, masks: list[int], cell_rows: int = CELL_ROWS) -> DataFrame:
     """Deals distinct fingerprints to comparison cells. fps: the fingerprint column (bigint, distinct rows) and any others.
     Each row goes to one bucket per mask; buckets with one row are dropped, as they can't hold a pair. A bucket of more than
