@@ -74,25 +74,48 @@ def _lower(low: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.n
     return np.where(right, low[span:], low[:-span]), np.where(right, at[span:], at[:-span])
 
 
-def contexts(data: bytes) -> tuple[list[int], list[int], list[int], list[int]]:
+def contexts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """key, c (digest of the context), lo (first window) and meta (anchor's place and last window, from lo) of each."""
     key, place, lo, hi = anchors(data)
-    meta = ((place - lo) << 7 | (hi - lo)).tolist()
+    meta = (place - lo) << 7 | (hi - lo)
     digest = xxhash.xxh3_64_intdigest
-    c = [digest(data[a : b + LENGTH], m) for a, b, m in zip(lo.tolist(), hi.tolist(), meta, strict=True)]
-    return key.tolist(), np.array(c, np.uint64).view(np.int64).tolist(), lo.tolist(), meta
+    c = [digest(data[a:b], m) for a, b, m in zip(lo.tolist(), (hi + LENGTH).tolist(), meta.tolist(), strict=True)]
+    return key, np.array(c, np.uint64).view(np.int64), lo, meta
+
+
+def _parts(batches: Iterator[pa.RecordBatch], least: int = 40_000) -> Iterator[tuple[list[np.ndarray], list[bytes], np.ndarray]]:
+    """key, c, doc, lo, meta of the contexts of some documents at a time, with their texts and each context's text number."""
+    held: list[tuple[np.ndarray, ...]] = []
+    texts: list[bytes] = []
+    n = 0
+    for b in batches:
+        for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            data = text.as_py()
+            key, c, lo, meta = contexts(data)
+            held.append((key, c, np.full(len(key), doc, np.int64), lo, meta, np.full(len(key), len(texts))))
+            texts.append(data)
+            n += len(key)
+            if n >= least:
+                *columns, number = (np.concatenate(x) for x in zip(*held, strict=True))
+                yield columns, texts, number
+                held, texts, n = [], [], 0
+    if n:
+        *columns, number = (np.concatenate(x) for x in zip(*held, strict=True))
+        yield columns, texts, number
 
 
 # --- sorting ----------------------------------------------------------------------------------------------------------
 
 
-def shallow_groups(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Multikey quicksort of rows of words (uint64): order, and the number of the group of equal rows of each in that order.
-    All groups are split at once, each by its own median into less, equal and more; what is equal goes on to the next
-    word."""
+def shallow_groups(words: np.ndarray, group: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Multikey quicksort of rows of words (uint64), those of each given group by themselves: order, and the number of the
+    group of equal rows of each in that order. All groups are split at once, each by its own median into less, equal and
+    more; what is equal goes on to the next word."""
     n, depth_end = words.shape
-    order, group, depth = np.arange(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
-    done = np.zeros(n, bool)
+    group = np.zeros(n, np.int64) if group is None else group
+    order, depth = np.argsort(group, kind="stable"), np.zeros(n, np.int64)
+    group = np.cumsum(np.diff(group[order], prepend=group[order[:1]] - 1) != 0) - 1
+    done = np.bincount(group)[group] == 1
     while not done.all():
         first = np.flatnonzero(np.diff(group, prepend=-1))
         size = np.diff(np.append(first, n))
@@ -146,9 +169,10 @@ def blind_sort(values: list[int]) -> list[list[int]]:
     return out
 
 
-def equal_windows(texts: list[bytes]) -> list[list[tuple[int, int]]]:
-    """Classes, of two or more, of equal LENGTH-byte suffix prefixes of the texts: (text, start), the suffixes sorted
-    deep-shallow."""
+def equal_windows(texts: list[bytes], places: np.ndarray, groups: np.ndarray) -> list[list[tuple[int, int]]]:
+    """Classes, of two or more, of equal LENGTH-byte suffix prefixes of the texts: (text, start). places: of the anchor in
+    each text; groups: texts with one anchor's hash. Windows that stand at one distance from such anchors are sorted
+    deep-shallow; no others can be equal."""
     size = np.array([len(t) - LENGTH + 1 for t in texts])
     begin = np.cumsum([0, *[len(t) for t in texts]])[:-1]
     text = np.repeat(np.arange(len(texts)), size)
@@ -159,16 +183,22 @@ def equal_windows(texts: list[bytes]) -> list[list[tuple[int, int]]]:
     word = np.zeros(len(raw) - 7, np.uint64)  # the 8 bytes from each place on, as a number
     for k in range(8):
         word = word << np.uint64(8) | raw[k : len(raw) - 7 + k]
-    order, group = shallow_groups(np.stack([word[at + 8 * k] for k in range(SHALLOW)], axis=1))
+    order, group = shallow_groups(np.stack([word[at + 8 * k] for k in range(SHALLOW)], axis=1), groups[text] * 128 + places[text] - start)
     many = np.bincount(group)[group] > 1
     order, group = order[many], group[many]
-    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)).tolist()
     where, out = at[order].tolist(), []
+    text, start = text[order].tolist(), start[order].tolist()
     number, skip = int.from_bytes, 8 * SHALLOW
-    for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False):
+    for a, b in zip(edges, edges[1:], strict=False):
+        if b - a == 2:  # a trie of two leaves
+            x, y = where[a], where[a + 1]
+            if joined[x + skip : x + LENGTH] == joined[y + skip : y + LENGTH]:
+                out.append([(text[a], start[a]), (text[a + 1], start[a + 1])])
+            continue
         for same in blind_sort([number(joined[x + skip : x + LENGTH]) for x in where[a:b]]):
             if len(same) > 1:
-                out.append([(int(text[i]), int(start[i])) for i in order[[a + k for k in same]]])
+                out.append([(text[a + k], start[a + k]) for k in same])
     return out
 
 
@@ -179,35 +209,19 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.where(F.col(id_col).isNotNull() & (F.octet_length(text_col) >= LENGTH)).select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).cast("binary").alias("text"))
 
 
-def context_table(rows: DataFrame, remembered: int = 200_000) -> DataFrame:
-    """key, c, doc, lo, meta, n: each context, but once for each task while it is remembered and nothing earlier comes."""
+def context_table(rows: DataFrame) -> DataFrame:
+    """key, c, doc, lo, meta, n: the first of equal contexts among some documents of a task at a time, and whether there were
+    more (n = 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: dict[tuple[int, int], tuple[int, int, int]] = {}
-        for b in batches:
-            out: list[tuple] = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                for key, c, lo, meta in zip(*contexts(text.as_py()), strict=True):
-                    k = key, c
-                    had = seen.get(k)
-                    if had is None:
-                        seen[k] = doc, lo, 1
-                        out.append((key, c, doc, lo, meta, 1))
-                    elif had[:2] != (doc, lo) and (had[2] == 1 or (doc, lo) < had[:2]):
-                        seen[k] = *min(had[:2], (doc, lo)), 2  # a second place, or an earlier one
-                        out.append((key, c, doc, lo, meta, 2))
-                if len(seen) > remembered:
-                    seen = {}
-                if len(out) > 50_000:
-                    yield _batch(out)
-                    out = []
-            if out:
-                yield _batch(out)
-
-    def _batch(out: list[tuple]) -> pa.RecordBatch:
-        cols = list(zip(*out, strict=True))
-        kinds = [pa.int64()] * 3 + [pa.int32(), pa.int16(), pa.int8()]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], [*KEYS, "doc", "lo", "meta", "n"])
+        for (key, c, doc, lo, meta), _, _ in _parts(batches):
+            order = np.lexsort((lo, doc, c, key))
+            key, c, doc, lo, meta = (x[order] for x in (key, c, doc, lo, meta))
+            new = np.append(True, (key[1:] != key[:-1]) | (c[1:] != c[:-1]))
+            place = np.append(True, new[1:] | (doc[1:] != doc[:-1]) | (lo[1:] != lo[:-1]))
+            first = np.flatnonzero(new)
+            n = 1 + (np.add.reduceat(place, first, dtype=np.int64) > 1)
+            yield pa.RecordBatch.from_arrays([pa.array(x[first]) for x in (key, c, doc)] + [pa.array(lo[first].astype(np.int32)), pa.array(meta[first].astype(np.int16)), pa.array(n.astype(np.int8))], [*KEYS, "doc", "lo", "meta", "n"])
 
     return rows.mapInArrow(run, "key bigint, c bigint, doc bigint, lo int, meta smallint, n tinyint")
 
@@ -248,24 +262,15 @@ def second_pass(rows: DataFrame, repeated: np.ndarray, shared: np.ndarray) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         in_repeated, in_shared = maps.value
-        for b in batches:
-            parts: list[tuple] = []
-            for doc, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                data = text.as_py()
-                key, c, lo, meta = map(np.array, contexts(data))
-                if not len(key):
-                    continue
-                whole = _has(in_repeated, _hash(key, c))
-                cut = _has(in_shared, _hash(key, c, np.full(len(key), doc), lo))
-                for i in np.flatnonzero(whole).tolist():
-                    parts.append((key[i], c[i], doc, lo[i], meta[i], None))
-                for i in np.flatnonzero(cut).tolist():
-                    a = int(lo[i])
-                    parts.append((key[i], c[i], doc, a, meta[i], data[a : a + (int(meta[i]) & 127) + LENGTH]))
-            if parts:
-                cols = list(zip(*parts, strict=True))
-                kinds = [pa.int64()] * 3 + [pa.int32(), pa.int16(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds, strict=True)], [*KEYS, "doc", "lo", "meta", "text"])
+        for columns, texts, number in _parts(batches):
+            key, c, doc, lo, meta = columns
+            for mask, cut in ((_has(in_repeated, _hash(key, c)), False), (_has(in_shared, _hash(key, c, doc, lo)), True)):
+                i = np.flatnonzero(mask)
+                if len(i):
+                    ends = (lo[i] + (meta[i] & 127) + LENGTH).tolist()
+                    text = [texts[t][a:b] for t, a, b in zip(number[i].tolist(), lo[i].tolist(), ends, strict=True)] if cut else [None] * len(i)
+                    arrays = [pa.array(x[i]) for x in (key, c, doc)] + [pa.array(lo[i].astype(np.int32)), pa.array(meta[i].astype(np.int16)), pa.array(text, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(arrays, [*KEYS, "doc", "lo", "meta", "text"])
 
     return rows.mapInArrow(run, "key bigint, c bigint, doc bigint, lo int, meta smallint, text binary")
 
@@ -277,14 +282,14 @@ def sorted_spans(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in grouped_batches(batches, ["key"]):
             text, doc, lo = tab.column("text").to_pylist(), tab.column("doc").to_pylist(), tab.column("lo").to_pylist()
-            number = group_numbers(tab, ["key"])
+            number, place = group_numbers(tab, ["key"]), tab.column("meta").to_numpy().astype(np.int64) >> 7
             edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(number)).tolist()
             out: list[tuple[int, int, int]] = []
             first = 0
             for end in edges[1:]:  # some groups at a time, so that memory stays small
                 if end - first < 4 * CELL and end != edges[-1]:
                     continue
-                for same in equal_windows(text[first:end]):
+                for same in equal_windows(text[first:end], place[first:end], number[first:end]):
                     at = sorted((doc[first + t], lo[first + t] + s) for t, s in same)
                     out += [(d, s, s + 1) for d, s in at if (d, s) != at[0]]
                 first = end
@@ -298,7 +303,7 @@ def sorted_spans(rows: DataFrame) -> DataFrame:
                         merged.append([d, a, b])
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*merged, strict=True)], ["doc", "a", "b"])
 
-    return rows.select("key", "doc", "lo", "text").repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc bigint, a bigint, b bigint")
+    return rows.select("key", "doc", "lo", "meta", "text").repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc bigint, a bigint, b bigint")
 
 
 def hashed_spans(rows: DataFrame) -> DataFrame:
