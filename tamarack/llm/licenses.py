@@ -38,7 +38,7 @@ class Rule(NamedTuple):
     priority: int
     keyword: str
     pattern: re.Pattern
-    named: bool = False
+    licen: bool = False  # whether no match is without "licen"
 
 
 #: label: names as regexes over lower-case words; the first word of each is its keyword unless "keyword @ regex" is given.
@@ -122,12 +122,15 @@ NAMES = {
     "openrail": ["openrail(?: m)?", "responsible ai license"],
 }
 
+#: The only form of a name in which the word license may be missing.
+BY_VERB = "(?:released|distributed|available|published|provided|covered|shared|dual licensed) under (?:the )?(?:terms of )?(?:the )?{0}(?: licen[cs]e)?"
+
 #: The forms in which a name stands, {0} being the name. A bare name needs "license" or "licence" next to it.
 FORMS = [
     (TAG, "spdx license identifier {0}(?: only| or later)?"),
     (TAG, "license {0}(?: only| or later)?(?= (?:author|version|url|homepage|classifier))"),
     (NOTICE, "(?:re)?licen[cs]ed under (?:the )?(?:terms of )?(?:the )?{0}(?: licen[cs]e)?"),
-    (NOTICE, "(?:released|distributed|available|published|provided|covered|shared|dual licensed) under (?:the )?(?:terms of )?(?:the )?{0}(?: licen[cs]e)?"),
+    (NOTICE, BY_VERB),
     (NOTICE, "(?:subject to|governed by|under the terms of|according to|in accordance with|see) the {0} licen[cs]e"),
     (NOTICE, "under (?:the |an |a )?{0} licen[cs]e"),
     (NAME, "(?:the )?{0} licen[cs]e(?: version)?(?: [0-9](?: [0-9])?)?"),
@@ -194,7 +197,7 @@ def rules() -> tuple[Rule, ...]:
             keyword, _, pattern = name.rpartition(" @ ")
             keyword = keyword or re.match(r"[a-z0-9]+(?: [a-z0-9]+)*", name.replace("(?:", "|").split("|")[0].split("[")[0].strip())[0]
             for priority, form in FORMS:
-                found.append(Rule(label, priority, f" {keyword}", word(form.format(f"(?:{pattern})")), True))
+                found.append(Rule(label, priority, f" {keyword}", word(form.format(f"(?:{pattern})")), form != BY_VERB))
     return tuple(found)
 
 
@@ -219,10 +222,10 @@ def detect(words: str) -> list[tuple[int, int, Rule]]:
     seen: set[int] = set()
     for _, numbers in _automaton().iter(words):
         seen.update(numbers)
-    named = "licen" in words  # every form of a name holds it
+    licen = "licen" in words
     for i in sorted(seen):
         r = rules()[i]
-        if r.named and not named:
+        if r.licen and not licen:
             continue
         found += [(m.start(), m.end(), r) for m in r.pattern.finditer(words)]
     found.sort(key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].label))

@@ -45,6 +45,19 @@ def test_rules():
     assert licenses.scan(b"cc by nc cc by nc cc by nc")[:4] == (9, 3, 0, 6)
 
 
+def test_prefilter_loses_no_rule():
+    assert labels("This program is distributed under the GPL v2") == "gpl-2"
+    assert labels("released under MPL 2.0") == "mpl-2"
+    assert labels("available under CC BY-SA 4.0") == "cc-by-sa"
+    name = {r.label: re.sub(r"\(\?:[^()]*\)\??| \?|\[.*", "", licenses.NAMES[r.label][0].rpartition(" @ ")[2]) for r in licenses.rules() if r.label in licenses.NAMES}
+    texts = [f" it is {verb} under the {n} and more " for n in name.values() for verb in ("released", "shared", "licensed")]
+    for words in [*texts, " nothing ", " put into the public domain "]:
+        every = [(m.start(), m.end(), r) for r in licenses.rules() for m in r.pattern.finditer(words)]
+        kept = licenses.detect(words)
+        assert all(any(a <= x and y <= b for a, b, _ in kept) for x, y, _ in every), words
+        assert set(kept) <= set(every)
+
+
 def test_inner_matches_are_suppressed():
     kept = licenses.detect(" licensed under the mozilla public license version 2 0 ")
     assert [r.label for _, _, r in kept] == ["mpl-2"]
