@@ -273,7 +273,7 @@ def cluster_assign(spark, d):
 
 @query()
 def silhouette_sweep(spark, d):
-    scores = X.silhouette_sweep(t(spark, d, "embeddings"), "embedding", range(2, 5))
+    scores = X.silhouette_sweep(t(spark, d, "embeddings"), "embedding")
     best = X.best_k(scores)
     return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette_score double, best boolean")
 

@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as e
+from tamarack.operators import vectors as X
 from tamarack.plans import catalog
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +51,7 @@ def test_no_row_python_in_plans(spark):
         plan = catalog.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
         assert "BatchEvalPython" not in plan
     assert "WindowGroupLimit" in catalog.winner_per_title(spark, SF)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_sweep_covers_the_whole_range(spark):
+    assert sorted(r["k"] for r in catalog.silhouette_sweep(spark, SF).collect()) == list(range(X.MIN_K, X.MAX_K + 1)) == list(range(5, 31))
