@@ -122,9 +122,9 @@ def choose_cutoff(counts: np.ndarray, alpha: float, level: float) -> int:
 def fit_cutoffs(docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum_col: str = "lang", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """stratum and a cutoff (grid step) per rule, from the documents that labels (doc_id, quality) calls good."""
     good = labels.where("quality = 1 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__w"))
-    held = docs.select("doc_id", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), F.col(text_col).alias("__text")).join(good, "doc_id")
-    steps = held.select("stratum", "__w", features_of(F.col("__text")).alias("f"))
-    steps = steps.select("stratum", "__w", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in scores(F.col("f")).items()])).alias("x"))
+    # measured before the join, so that six numbers move and no text does
+    held = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), features_of(F.col(text_col)).alias("f")).join(good, "doc_id")
+    steps = held.select("stratum", "__w", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in scores(F.col("f")).items()])).alias("x"))
     hist = materialize(steps.groupBy("stratum", "x.rule", "x.step").agg(F.sum("__w").alias("n")), "quality-hist")
     level = delta / (len(RULES) * max(1, hist.select("stratum").distinct().count()))
 

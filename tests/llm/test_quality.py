@@ -66,3 +66,34 @@ def test_edge_cases(spark, edge, none):
     assert next(r for r in rows if r["doc_id"] == 7)["__f"]["n_words"] == 60_000
     assert not quality.judge(none, labels).count() and quality.judge(edge, labels.where("false")).count() == edge.count()
     assert quality.keep_good(edge, labels).columns == edge.columns
+
+
+def test_verdict_equals_a_plain_fit(spark):
+    """kept on a table with enough labels: cutoffs walked by hand with sums of binomial terms."""
+    rng = np.random.default_rng(8)
+    docs = []
+    for i in range(3000):
+        words = [f"w{i}x{k}" + "#" * int(rng.random() < rng.choice([0, 0.02, 0.3])) for k in range(30)]
+        docs.append((i, " ".join(words) + ("\nline one\nline one" if rng.random() < 0.01 else ""), str(rng.choice(["en", "fr", "de"], p=[0.6, 0.39, 0.01]))))
+    good = {i: int(rng.random() < 0.9) for i in range(0, 3000, 2)}
+    frame = spark.createDataFrame(docs, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["__kept"] for r in quality.judge(frame, spark.createDataFrame([(i, q, 0) for i, q in good.items()], "doc_id long, quality int, toxic int")).collect()}
+
+    def steps(text):
+        n_words, chars, symbols, dup, repeat = plain(text)
+        n_lines = sum(bool(WORD.search(x)) for x in text.split("\n"))
+        up = lambda a, b: min(quality.GRID, -(-a * quality.GRID // max(b, 1)))
+        return up(symbols, chars), up(dup, n_lines), up(repeat, n_words)
+
+    level, alpha, cut = quality.DELTA / 9, quality.ALPHA / 3, {}
+    for lang in ("en", "fr", "de"):
+        seen = [steps(t) for i, t, la in docs if la == lang and good.get(i) == 1]
+        for rule in range(3):
+            cut[lang, rule] = quality.GRID
+            for c in range(quality.GRID, -1, -1):
+                above, n = sum(s[rule] > c for s in seen), len(seen)
+                if above > n * alpha or sum(comb(n, k) * alpha**k * (1 - alpha) ** (n - k) for k in range(above + 1)) > level:
+                    break
+                cut[lang, rule] = c
+    want = {i: plain(t)[0] >= 20 and 100 * plain(t)[4] <= 30 * plain(t)[0] and all(s <= cut[la, k] for k, s in enumerate(steps(t))) for i, t, la in docs}
+    assert got == want and any(c < quality.GRID for c in cut.values()) and not all(want.values())
