@@ -10,7 +10,7 @@ A chunk that also stands earlier (smaller doc_id, or the same document further l
 next to each other are removed as a run if the run has MIN_RUN bytes at least: single small chunks recur by chance.
 
 Copies are found by an aggregate per digest, so a chunk that a third of all documents share is one row per task before it is
-shuffled. Defined results: a null text stays null and an empty one empty; texts of any length are cut whole; rows without
+shuffled; the chunks are written once, in the shared folder, and read for that aggregate and for the join with its result. Defined results: a null text stays null and an empty one empty; texts of any length are cut whole; rows without
 doc_id are left as they are and remove nothing elsewhere; rows that repeat a doc_id are one document that stands several
 times (what repeats only between them stays); a removed run that ends inside a character takes the whole character; an empty
 table returns no rows; other columns pass through.
@@ -64,58 +64,76 @@ def cuts(data: bytes, least: int = MIN, most: int = MAX) -> np.ndarray:
     return edges[1:]
 
 
-def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, start, size, d1, d2 (digest) of each chunk."""
+#: Chunks that are handed on at a time.
+SLICE = 20_000
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names, digest = ["id", "start", "size", "d1", "d2"], xxhash.xxh3_128_digest
-        ids, ends, starts, sums, held = [], [], [], [], 0
 
-        def flush() -> pa.RecordBatch:
-            d = np.frombuffer(b"".join(sums), "<i8").reshape(-1, 2)
-            s, e = np.concatenate(starts), np.concatenate(ends)
-            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(s), pa.array((e - s).astype(np.int32)), pa.array(d[:, 0].copy()), pa.array(d[:, 1].copy())], names)
+def _slice(ids: list, sizes: list[np.ndarray], ends: list[np.ndarray], sums: list[bytes]) -> pa.RecordBatch:
+    """id, start, size, d1, d2, again of the chunks of some documents; again: the document has an equal chunk further left."""
+    doc = np.repeat(np.arange(len(ids)), [len(e) for e in ends])
+    end, size = np.concatenate(ends), np.concatenate(sizes)
+    d = np.frombuffer(b"".join(sums), "<i8").reshape(-1, 2)
+    order = np.lexsort((end, d[:, 1], d[:, 0], doc))
+    x, y, z = doc[order], d[order, 0], d[order, 1]
+    again = np.zeros(len(doc), bool)
+    again[order[1:]] = (x[1:] == x[:-1]) & (y[1:] == y[:-1]) & (z[1:] == z[:-1])
+    arrays = [np.array(ids, np.int64)[doc], end - size, size.astype(np.int32), d[:, 0].copy(), d[:, 1].copy(), again]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in arrays], ["id", "start", "size", "d1", "d2", "again"])
 
+
+def chunk_table(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id, start, size, d1, d2 (digest), again of each chunk."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
+        ids, sizes, ends, sums, held = [], [], [], [], 0
         for b in batches:
-            for doc, text in zip(b.column(0), b.column(1), strict=True):
-                data = text.as_py()
+            for i in range(b.num_rows):
+                data = b.column(1)[i].as_py()
                 end = cuts(data)
-                start = np.append(0, end[:-1]) if len(end) else end
-                sums += [digest(data[x:y]) for x, y in zip(start.tolist(), end.tolist(), strict=True)]
-                ids.append(np.full(len(end), doc.as_py(), np.int64))
-                starts.append(start.astype(np.int64))
-                ends.append(end.astype(np.int64))
+                if not len(end):
+                    continue
+                size = np.diff(end, prepend=0)
+                sums += [digest(data[y - n : y]) for y, n in zip(end.tolist(), size.tolist(), strict=True)]
+                ids.append(b.column(0)[i].as_py())
+                sizes.append(size)
+                ends.append(end)
                 held += len(end)
-                if held >= 20_000:
-                    yield flush()
-                    ids, ends, starts, sums, held = [], [], [], [], 0
+                if held >= SLICE:
+                    yield _slice(ids, sizes, ends, sums)
+                    ids, sizes, ends, sums, held = [], [], [], [], 0
         if held:
-            yield flush()
+            yield _slice(ids, sizes, ends, sums)
 
     rows = docs.where(F.col(id_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    return rows.mapInArrow(run, "id bigint, start bigint, size int, d1 bigint, d2 bigint")
+    return rows.mapInArrow(run, "id bigint, start bigint, size int, d1 bigint, d2 bigint, again boolean")
 
 
 def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """id, runs: array of (start, size) in bytes of what each document repeats; documents without any are left out."""
-    chunks = chunk_table(docs, id_col, text_col)
-    first = chunks.groupBy("d1", "d2").agg(F.min(F.struct("id", "start")).alias("first"), F.max(F.struct("id", "start")).alias("last"))
-    repeats = materialize(first.where("first <> last").select("d1", "d2", "first"), "chunks")
+    chunks = materialize(chunk_table(docs, id_col, text_col), "chunk-table")
+    # what a document repeats of itself is known already; between documents the smallest id has the first copy. Two numbers
+    # for each digest: a hash aggregate that combines before it shuffles
+    seen = chunks.where("not again").groupBy("d1", "d2").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    repeats = materialize(seen.where("first <> last").select("d1", "d2", "first"), "chunks")
     # a digest's copies sit with its one row of repeats; the planner broadcasts that side or splits the copies
-    later = chunks.join(repeats, ["d1", "d2"]).where("id <> first.id OR start <> first.start").select("id", "start", "size").distinct()
+    later = chunks.join(repeats, ["d1", "d2"], "left").where("again OR id <> first").select("id", "start", "size")
     per = later.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("start", "size"))).alias("__c"))
     return per.select("id", merge_runs("__c", min_run).alias("runs")).where("size(runs) > 0")
 
 
 def merge_runs(column: str, min_run: int):
+    """The chunks of a document, sorted, as runs; rows that repeat a document bring the same chunk twice."""
+
     @F.arrow_udf("array<struct<start:bigint,size:bigint>>")
     def run(rows: pa.Array) -> pa.Array:
         out = []
         for r in rows:
             merged: list[dict] = []
             for c in r.as_py():
-                if merged and merged[-1]["start"] + merged[-1]["size"] == c["start"]:
-                    merged[-1]["size"] += c["size"]
+                end = c["start"] + c["size"]
+                if merged and c["start"] <= merged[-1]["start"] + merged[-1]["size"]:
+                    merged[-1]["size"] = max(merged[-1]["size"], end - merged[-1]["start"])
                 else:
                     merged.append({"start": c["start"], "size": c["size"]})
             out.append([m for m in merged if m["size"] >= min_run])
