@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -202,7 +202,7 @@ class Memory:
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
 
-    def missing(self, keys: set[str], turn: bool = True) -> list[str]:
+    def missing(self, keys: Iterable[str], turn: bool = True) -> list[str]:
         """Makes the known of these keys young; returns the others. turn: the young may become the old before that."""
         if turn and len(self.young) > self.size:
             self.young, self.old = {}, self.young

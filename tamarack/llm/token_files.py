@@ -32,6 +32,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,30 +41,58 @@ from .common import Memory, materialize, scratch, slices, table
 
 MAGIC = b"TMKHUF01"
 MAX_BITS, BLOCK, STEP = 16, 1 << 18, 128
-FILE_TOKENS, END_ID, CACHE = 4_000_000, 2, 500_000
+END_ID, CACHE = 2, 200_000
+#: Ids in a file: FILE_TOKENS where there are many; on small inputs fewer, down to LEAST_TOKENS, so that each core has a file.
+FILE_TOKENS, LEAST_TOKENS = 64_000_000, 2_000_000
 _MARKS = frozenset(".,;:!?")
 
 
 # --- encoding ---------------------------------------------------------------------------------------------------------
 
 
+#: The steps before a tokenizer's model for which words between ASCII blanks can be encoded one by one: blanks
+#: are dropped, and letters, digits and other marks are cut apart by the characters of the word alone.
+BY_WORD = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+
+
+def by_word(settings: dict) -> bool:
+    """Whether a tokenizer file's settings are such that words can be encoded one by one. An added token might hold a blank or
+    reach into two words, so none may; dropout would not be remembered rightly."""
+    tokens = all(t["content"] and not set(t["content"]) & set(" \n") and not any(t[k] for k in ("lstrip", "rstrip", "single_word", "normalized")) for t in settings["added_tokens"])
+    whole = settings["model"]["type"] == "BPE" and not settings["model"].get("dropout") and not settings.get("truncation") and not settings.get("padding")
+    return tokens and whole and all(settings[k] == v for k, v in BY_WORD.items())
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer of the tokenizers library that drops white space: a word between spaces is encoded once
-    and remembered. Ids are little-endian, of the narrowest type that holds the vocabulary."""
+    """Ids of texts by a tokenizer of the tokenizers library. Where its settings allow it (see by_word), a batch is split at
+    its ASCII blanks and each distinct word encoded once and remembered; otherwise whole texts go to the library. Ids are
+    little-endian, of the narrowest type that holds the vocabulary."""
 
     def __init__(self, path: str, cache_size: int = CACHE):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.size = self.tokenizer.get_vocab_size()
+        with open(path, encoding="utf-8") as f:
+            settings = json.load(f)
+        top = max([self.tokenizer.get_vocab_size() - 1, *settings["model"]["vocab"].values(), *(t["id"] for t in settings["added_tokens"])])
+        self.size, self.by_word = top + 1, by_word(settings)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.words = Memory(cache_size)
         self.model, self.code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
 
     def library(self, words: list[str]) -> dict[str, bytes]:
-        """Ids from the library. For ASCII letters its normalisation is lower case and its cuts and byte letters change
-        nothing, so these go to its model at once."""
+        """Ids of words. For ASCII letters the normalisation of BY_WORD is lower case and its cuts and byte letters change
+        nothing, so these go to the model at once."""
         tokenize, code = self.model.tokenize, self.code
         plain = [w for w in words if w.isascii() and w.isalpha()]
         other = [w for w in words if not (w.isascii() and w.isalpha())]
@@ -71,18 +100,38 @@ class WordEncoder:
         out.update((w, array(code, e.ids).tobytes()) for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True))
         return out
 
-    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
-        split = [(t or "").replace("\n", " ").split(" ") for t in texts]
+    def learn(self, distinct: list[str]) -> dict[str, bytes]:
+        """The memory, in which all of these words are."""
         known = self.words
-        new = known.missing(set().union(*split))
+        new = known.missing(distinct)
         # letters and a mark after them are pieces of their own, so the word without it serves
         marked = [w for w in new if w[-1:] in _MARKS and w[:-1].lower().isalpha()]
         parts = {w[:-1] for w in marked} | {w[-1] for w in marked}
         known.add(self.library(known.missing(parts.union(new).difference(marked), turn=False)))
-        ids = known.young
-        known.add({w: ids[w[:-1]] + ids[w[-1]] for w in marked})
-        get = ids.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        known.add({w: known.young[w[:-1]] + known.young[w[-1]] for w in marked})
+        return known.young
+
+    def encode_batch(self, texts: list[str | None]) -> pa.Array:
+        """The ids of each text, as binary."""
+        if not self.by_word:
+            found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            return pa.array([array(self.code, e.ids).tobytes() for e in found], pa.binary())
+        column = pc.replace_substring(pc.fill_null(pa.array(texts, pa.string()), ""), "\n", " ")
+        split = pc.split_pattern(column, " ")
+        words = split.values.dictionary_encode()
+        distinct = words.dictionary.to_pylist()
+        known = self.learn(distinct)
+        pieces = [known[w] for w in distinct]
+        every = np.frombuffer(b"".join(pieces), self.dtype)
+        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
+        first = np.cumsum(size) - size
+        of = words.indices.to_numpy()
+        n = size[of]
+        end = np.cumsum(n)
+        # word by word: its first id's place in every, and on from there
+        ids = every[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(first[of] - (end - n), n)]
+        edges = np.append(0, end)[split.offsets.to_numpy()] * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
 
 
 @cache
@@ -95,11 +144,12 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, id_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = word_encoder(path)
-        end = np.array([end_id], enc.dtype).tobytes()
+        end = pa.scalar(np.array([end_id], enc.dtype).tobytes(), pa.binary())
         for b in batches:
             at = 0
             for part in slices(b.column(1)):
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), pa.array([x + end for x in enc.encode_batch(part)], pa.binary())], ["id", "ids"])
+                ids = pc.binary_join_element_wise(enc.encode_batch(part), end, pa.scalar(b"", pa.binary()))
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), ids], ["id", "ids"])
                 at += len(part)
 
     kind = docs.schema[id_col].dataType.simpleString()
@@ -207,9 +257,9 @@ def _fs(path: str):
     return fs.FileSystem.from_uri(path)
 
 
-def write_files(encoded: DataFrame, folder: str, dtype: str, n_symbols: int, file_tokens: int = FILE_TOKENS, max_bits: int = MAX_BITS) -> list[tuple[int, str, int]]:
+def write_files(encoded: DataFrame, folder: str, dtype: str, n_symbols: int, file_tokens: int | None = None, max_bits: int = MAX_BITS) -> list[tuple[int, str, int]]:
     """Writes encoded (id bigint, ids binary) in ascending id order. Returns number, path and ids of each file: as many rows
-    as files, in order."""
+    as files, in order. Codes are as long as the number of symbols needs, if that is over max_bits."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(n_symbols, np.int64)
@@ -222,8 +272,11 @@ def write_files(encoded: DataFrame, folder: str, dtype: str, n_symbols: int, fil
     counts = np.zeros(n_symbols, np.int64)  # at most one row for each entry of the vocabulary
     for r in encoded.select("ids").mapInArrow(count, "symbol bigint, n bigint").groupBy("symbol").agg(F.sum("n").alias("n")).collect():
         counts[r["symbol"]] = r["n"]
+    max_bits, total = max(max_bits, int(np.count_nonzero(counts)).bit_length()), int(counts.sum())
     lengths = code_lengths(counts, max_bits)
-    codes, n_files = canonical(lengths), max(1, -(-int(counts.sum()) // file_tokens))
+    cores = encoded.sparkSession.sparkContext.defaultParallelism
+    size = file_tokens or min(FILE_TOKENS, max(LEAST_TOKENS, total // (2 * cores) + 1))
+    codes, n_files = canonical(lengths), max(1, -(-total // size))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = _fs(folder)

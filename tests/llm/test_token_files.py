@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 from itertools import accumulate
@@ -31,10 +32,36 @@ def test_query_equals_library(spark, documents):
 @settings(max_examples=300, deadline=None)
 @given(st.text(st.sampled_from("ab The  \n\t é's'llZ09.,!\x1c\x85 　́İ漢<|endoftext|>"), max_size=60) | st.text(max_size=40))
 def test_words_apart_equal_the_whole_text(text):
-    ids = np.frombuffer(tf.word_encoder(PATH).encode_batch([text])[0], "<u2").tolist()
+    ids = np.frombuffer(tf.word_encoder(PATH).encode_batch([text])[0].as_py(), "<u2").tolist()
     assert [*ids, tf.END_ID] == plain(text)
 
 
+def test_words_are_taken_apart_only_where_the_file_allows_it(tmp_path):
+    with open(PATH, encoding="utf-8") as f:
+        own = json.load(f)
+    other = {"cased": own | {"normalizer": None}, "whole": own | {"pre_tokenizer": None}, "blank": own | {"added_tokens": [own["added_tokens"][0] | {"content": "a b"}]}}
+    text = "Hello World, a b it's\n X"
+    for name, file in other.items():
+        (tmp_path / name).write_text(json.dumps(file), encoding="utf-8")
+        enc = tf.WordEncoder(str(tmp_path / name))
+        assert not enc.by_word
+        want = Tokenizer.from_file(str(tmp_path / name)).encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(enc.encode_batch([None, text])[1].as_py(), enc.dtype).tolist() == want
+    assert tf.word_encoder(PATH).by_word
+
+
+def test_large_vocabularies_get_longer_codes(spark, tmp_path):
+    rng = np.random.default_rng(3)
+    ids = rng.permutation(70_000).astype("<u4")
+    rows = spark.createDataFrame([(i, bytearray(x.tobytes())) for i, x in enumerate(np.array_split(ids, 7))], "id long, ids binary")
+    files = tf.write_files(rows, f"file://{tmp_path}/big", "<u4", 70_000)
+    got = sorted(map(tuple, tf.read_files(spark, f"file://{tmp_path}/big", files).collect()))
+    at = 0
+    for r, x in zip(got, np.array_split(ids, 7), strict=True):
+        assert r[1:] == (at, len(x), zlib.crc32(x.tobytes()))
+        at += len(x)
+
+
 def test_code_lengths_are_optimal_and_limited():
     import heapq
 
