@@ -23,12 +23,14 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
 from functools import cache
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +39,26 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memory, materialize, scratch, slices, table
+from .common import Memory, materialize, scratch, table
 
 MAGIC = b"TMKHUF01"
 MAX_BITS, BLOCK, STEP = 16, 1 << 18, 128
-END_ID, CACHE = 2, 200_000
+END_ID, CACHE = 2, 400_000
+#: Bytes of text that are encoded at a time (a longer text is encoded whole).
+SLICE = 8_000_000
 #: Ids in a file: FILE_TOKENS where there are many; on small inputs fewer, down to LEAST_TOKENS, so that each core has a file.
 FILE_TOKENS, LEAST_TOKENS = 64_000_000, 2_000_000
-_MARKS = frozenset(".,;:!?")
+#: Line ends to blanks; the same and A-Z to lower case.
+_BLANK = bytes(32 if b == 10 else b for b in range(256))
+_LOWER = bytes(b + 32 if 65 <= b < 91 else _BLANK[b] for b in range(256))
+_MARK = np.isin(np.arange(256), list(b".,;:!?"))
+_LETTER = np.array([bytes([b]).isalpha() for b in range(256)])
+#: Visible ASCII and the letters of Latin-1 from \u00c0 on, and how a text of these in lower case is cut.
+_KNOWN = re.compile("[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*")
+_PIECE = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+|[0-9]|[^a-z0-9\u00c0-\u00ff]+")
+#: A byte's letter in a byte-level vocabulary: itself where it can be seen, else the next one from 256 on.
+_SEEN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTE_LETTERS = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _SEEN)}
 
 
 # --- encoding ---------------------------------------------------------------------------------------------------------
@@ -68,7 +82,12 @@ def by_word(settings: dict) -> bool:
     """Whether a tokenizer file's settings are such that words can be encoded one by one. An added token might hold a blank or
     reach into two words, so none may; dropout would not be remembered rightly."""
     tokens = all(t["content"] and not set(t["content"]) & set(" \n") and not any(t[k] for k in ("lstrip", "rstrip", "single_word", "normalized")) for t in settings["added_tokens"])
-    whole = settings["model"]["type"] == "BPE" and not settings["model"].get("dropout") and not settings.get("truncation") and not settings.get("padding")
+    model = settings["model"]
+    whole = model["type"] == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+    whole = whole and bool(model.get("end_of_word_suffix")) and not settings.get("truncation") and not settings.get("padding")
+    # every byte must be there within and at the end of a word, or pieces would lose letters
+    letters = [chr(_BYTE_LETTERS.get(b, b)) for b in range(256)]
+    whole = whole and all(x in model["vocab"] and x + model["end_of_word_suffix"] in model["vocab"] for x in letters)
     return tokens and whole and all(settings[k] == v for k, v in BY_WORD.items())
 
 
@@ -87,51 +106,100 @@ class WordEncoder:
         top = max([self.tokenizer.get_vocab_size() - 1, *settings["model"]["vocab"].values(), *(t["id"] for t in settings["added_tokens"])])
         self.size, self.by_word = top + 1, by_word(settings)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
+        self.added = [t["content"].lower().encode() for t in settings["added_tokens"]]
         self.words = Memory(cache_size)
-        self.model, self.code = self.tokenizer.model, "H" if self.dtype.itemsize == 2 else "I"
-
-    def library(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of words. For ASCII letters the normalisation of BY_WORD is lower case and its cuts and byte letters change
-        nothing, so these go to the model at once."""
-        tokenize, code = self.model.tokenize, self.code
-        plain = [w for w in words if w.isascii() and w.isalpha()]
-        other = [w for w in words if not (w.isascii() and w.isalpha())]
-        out = {w: array(code, [t.id for t in tokenize(w.lower())]).tobytes() for w in plain}
-        out.update((w, array(code, e.ids).tobytes()) for w, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True))
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        if self.by_word:
+            model = json.dumps(settings | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "added_tokens": []})
+            self.plain = Tokenizer.from_str(model)
+            self.last = np.zeros(self.size, bool)
+            self.last[[i for t, i in settings["model"]["vocab"].items() if t.endswith(settings["model"]["end_of_word_suffix"])]] = True
+
+    def library(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of words. What consists of ASCII marks, digits and letters of ASCII and Latin-1 only is cut here as BY_WORD cuts
+        it (its normalisation is lower case) and goes to the model in one text, blanks between the pieces; as the last id of
+        each piece ends a word, the ids are told apart again. Other words go to the library one by one."""
+        width, known, pieces, n, out = self.dtype.itemsize, [], [], [], {}
+        other = []
+        for w in words:
+            word = w.rstrip(b" ")
+            if word.isalpha():  # ASCII letters
+                known.append(w)
+                pieces.append(word.lower())
+                n.append(1)
+            elif _KNOWN.fullmatch(text := word.decode()):
+                cut = _PIECE.findall(text.lower())
+                known.append(w)
+                pieces += [x.encode() for x in cut]
+                n.append(len(cut))
+            else:
+                other.append((w, text))
+        if pieces:
+            text = b"\n".join(pieces).decode("latin-1").translate(_BYTE_LETTERS | {10: " "})
+            ids = np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.dtype)
+            ends = np.append(0, np.flatnonzero(self.last[ids]) + 1)
+            if len(ends) != len(pieces) + 1:
+                raise ValueError("a piece of a word has no last id")
+            raw, at = ids.tobytes(), (ends[np.append(0, np.cumsum(n))] * width).tolist()
+            out = {w: raw[x:y] for w, (x, y) in zip(known, pairwise(at), strict=True)}
+        else:
+            out = dict.fromkeys(known, b"")
+        found = self.tokenizer.encode_batch_fast([t for _, t in other], add_special_tokens=False)
+        out.update((w, array(self.code, e.ids).tobytes()) for (w, _), e in zip(other, found, strict=True))
         return out
 
-    def learn(self, distinct: list[str]) -> dict[str, bytes]:
-        """The memory, in which all of these words are."""
-        known = self.words
-        new = known.missing(distinct)
-        # letters and a mark after them are pieces of their own, so the word without it serves
-        marked = [w for w in new if w[-1:] in _MARKS and w[:-1].lower().isalpha()]
-        parts = {w[:-1] for w in marked} | {w[-1] for w in marked}
-        known.add(self.library(known.missing(parts.union(new).difference(marked), turn=False)))
-        known.add({w: known.young[w[:-1]] + known.young[w[-1]] for w in marked})
-        return known.young
-
-    def encode_batch(self, texts: list[str | None]) -> pa.Array:
-        """The ids of each text, as binary."""
+    def encode_batch(self, texts: pa.Array) -> pa.Array:
+        """The ids of each text (string or null), as binary."""
+        texts = pc.fill_null(texts.cast(pa.string()), "")
         if not self.by_word:
-            found = self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)
+            found = self.tokenizer.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)
             return pa.array([array(self.code, e.ids).tobytes() for e in found], pa.binary())
-        column = pc.replace_substring(pc.fill_null(pa.array(texts, pa.string()), ""), "\n", " ")
-        split = pc.split_pattern(column, " ")
-        words = split.values.dictionary_encode()
-        distinct = words.dictionary.to_pylist()
-        known = self.learn(distinct)
-        pieces = [known[w] for w in distinct]
+        offsets = np.frombuffer(texts.buffers()[1], np.int32, len(texts) + 1, texts.offset * 4).astype(np.int64)
+        raw = memoryview(texts.buffers()[2] or b"")[offsets[0] : offsets[-1]].tobytes()
+        offsets -= offsets[0]
+        folded = raw.translate(_LOWER)
+        if any(t in folded for t in self.added):  # in other cases it would be another text
+            folded = raw.translate(_BLANK)
+        edges = word_edges(np.frombuffer(folded, np.uint8), offsets)
+        buffers = [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(folded)]
+        words = pa.Array.from_buffers(pa.binary(), len(edges) - 1, buffers).dictionary_encode()
+        distinct = bytes_of(words.dictionary)
+        self.words.add(self.library(self.words.missing(distinct)))
+        pieces = list(map(self.words.young.__getitem__, distinct))
         every = np.frombuffer(b"".join(pieces), self.dtype)
-        size = np.fromiter(map(len, pieces), np.int64, len(pieces)) // self.dtype.itemsize
-        first = np.cumsum(size) - size
+        size = np.fromiter(map(len, pieces), np.int32, len(pieces)) // self.dtype.itemsize
+        first = np.cumsum(size, dtype=np.int32) - size
         of = words.indices.to_numpy()
         n = size[of]
-        end = np.cumsum(n)
+        end = np.cumsum(n, dtype=np.int32)  # the ids of a slice are at most as many as its bytes
         # word by word: its first id's place in every, and on from there
-        ids = every[np.arange(int(end[-1]) if len(end) else 0) + np.repeat(first[of] - (end - n), n)]
-        edges = np.append(0, end)[split.offsets.to_numpy()] * self.dtype.itemsize
-        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(edges.astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
+        ids = every[np.arange(int(end[-1]) if len(end) else 0, dtype=np.int32) + np.repeat(first[of] - (end - n), n)]
+        ends = np.append(0, end)[np.searchsorted(edges, offsets)] * self.dtype.itemsize
+        return pa.Array.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(ends.astype(np.int32).tobytes()), pa.py_buffer(ids.tobytes())])
+
+
+def bytes_of(column: pa.Array) -> list[bytes]:
+    """The values of a binary column without nulls."""
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, column.offset * 4).tolist()
+    raw = (column.buffers()[2] or pa.py_buffer(b"")).to_pybytes()
+    return [raw[x:y] for x, y in pairwise(at)]
+
+
+def word_edges(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where words begin, and the end: behind blanks, at the texts' offsets, and at a mark that ends a word of ASCII letters,
+    which is a piece of its own. A word keeps the blanks behind it."""
+    if not len(data):
+        return np.zeros(1, np.int64)
+    blank = data == 32
+    begins = np.zeros(len(data) + 1, bool)
+    begins[1:-1] = blank[:-1] & ~blank[1:]
+    begins[offsets] = True
+    begins[0] = begins[-1] = True
+    at = np.flatnonzero(_MARK[data])
+    at = at[at > 0]
+    at = at[_LETTER[data[at - 1]] & ((at + 1 == len(data)) | begins[at + 1] | blank[np.minimum(at + 1, len(data) - 1)])]
+    begins[at] = True
+    return np.flatnonzero(begins)
 
 
 @cache
@@ -146,11 +214,12 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, id_col: s
         enc = word_encoder(path)
         end = pa.scalar(np.array([end_id], enc.dtype).tobytes(), pa.binary())
         for b in batches:
-            at = 0
-            for part in slices(b.column(1)):
-                ids = pc.binary_join_element_wise(enc.encode_batch(part), end, pa.scalar(b"", pa.binary()))
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)), ids], ["id", "ids"])
-                at += len(part)
+            size = pc.binary_length(pc.fill_null(b.column(1), "")).to_numpy()
+            cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE, prepend=0)) if len(size) else []
+            for at, to in pairwise([0, *(int(c) + 1 for c in cuts if c + 1 < len(size)), len(size)]):
+                part = b.slice(at, to - at)
+                ids = pc.binary_join_element_wise(enc.encode_batch(part.column(1)), end, pa.scalar(b"", pa.binary()))
+                yield pa.RecordBatch.from_arrays([part.column(0), ids], ["id", "ids"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, f"id {kind}, ids binary")

@@ -4,6 +4,7 @@ import zlib
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers as P
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -30,12 +31,25 @@ def test_query_equals_library(spark, documents):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.text(st.sampled_from("ab The  \n\t é's'llZ09.,!\x1c\x85 　́İ漢<|endoftext|>"), max_size=60) | st.text(max_size=40))
+@given(st.text(st.sampled_from("ab TheÀßÿµªº×  \n\t é's'llZ09.,!\x1c\x85 　́İ漢<|endoftext|>"), max_size=60) | st.text(max_size=40))
 def test_words_apart_equal_the_whole_text(text):
-    ids = np.frombuffer(tf.word_encoder(PATH).encode_batch([text])[0].as_py(), "<u2").tolist()
+    ids = np.frombuffer(tf.word_encoder(PATH).encode_batch(pa.array([text], pa.string()))[0].as_py(), "<u2").tolist()
     assert [*ids, tf.END_ID] == plain(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.text(st.sampled_from("ab é.,! \n漢"), max_size=12), max_size=8))
+def test_texts_of_a_batch_stay_apart(texts):
+    got = tf.word_encoder(PATH).encode_batch(pa.array([None, *texts, "x"], pa.string()).slice(1, len(texts)))
+    assert [[*np.frombuffer(x.as_py(), "<u2").tolist(), tf.END_ID] for x in got] == [plain(t) for t in texts]
+
+
+def test_every_latin_word_equals_the_library():
+    words = [f"{chr(a)}{chr(b)}" for a in range(192, 256) for b in (*range(97, 100), *range(192, 256))]
+    got = tf.word_encoder(PATH).encode_batch(pa.array(words))
+    assert [np.frombuffer(x.as_py(), "<u2").tolist() for x in got] == [plain(w)[:-1] for w in words]
+
+
 def test_words_are_taken_apart_only_where_the_file_allows_it(tmp_path):
     with open(PATH, encoding="utf-8") as f:
         own = json.load(f)
@@ -46,7 +60,7 @@ def test_words_are_taken_apart_only_where_the_file_allows_it(tmp_path):
         enc = tf.WordEncoder(str(tmp_path / name))
         assert not enc.by_word
         want = Tokenizer.from_file(str(tmp_path / name)).encode(text, add_special_tokens=False).ids
-        assert np.frombuffer(enc.encode_batch([None, text])[1].as_py(), enc.dtype).tolist() == want
+        assert np.frombuffer(enc.encode_batch(pa.array([None, text]))[1].as_py(), enc.dtype).tolist() == want
     assert tf.word_encoder(PATH).by_word
 
 
