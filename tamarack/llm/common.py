@@ -36,6 +36,15 @@ def scratch(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
+#: Rows of a written table that may be broadcast: some tens of MB where rows are narrow.
+BROADCAST_ROWS = 500_000
+
+
+def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """df, a written table, marked to be broadcast if it has at most so many rows; else as it is, and the planner joins by key."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def materialize(df: DataFrame, tag: str, columns: list[str] | None = None) -> DataFrame:
     """Cuts lineage: writes df as Parquet in the shared folder and reads it back, so a lost executor costs nothing that
     is already there. Only columns, if given."""
@@ -133,31 +142,31 @@ def block_masks(n_blocks: int, max_bits: int, bits: int = 64) -> list[int]:
     return [m - (1 << 64) if m >> 63 else m for m in masks]
 
 
-def first_meeting(differ: np.ndarray, of_table: np.ndarray, masks: list[int]) -> np.ndarray:
-    """Whether pairs that differ in these bits meet in no table before their own: each pair is then looked at once."""
-    out = np.ones(len(differ), bool)
-    for t, m in enumerate(masks):
-        out &= (of_table <= t) | (differ & np.uint64(m & (1 << 64) - 1) != 0)
-    return out
-
+def deal(rows: DataFrame, keys: list[str], by: str, cell_rows: int, tag: str) -> DataFrame:
+    """Deals rows to the cells of their buckets (equal keys). Buckets of one row are dropped, as they can't hold a pair. A
+    bucket of more than cell_rows is cut into chunks by a hash of the column by, and each pair of chunks is a cell of its own,
+    so that no task has to hold a bucket. Returns the columns and __c (cell), sorted by keys and cell in each partition.
 
-def bucket_cells(fps: DataFrame, fp: str, masks: list[int], cell_rows: int = CELL_ROWS) -> DataFrame:
-    """Deals distinct fingerprints to comparison cells. fps: the fingerprint column (bigint, distinct rows) and any others.
-    Each row goes to one bucket per mask; buckets with one row are dropped, as they can't hold a pair. A bucket of more than
-    cell_rows is cut into k chunks, and each pair of chunks is a cell of its own, so that no task has to hold a bucket.
-    Returns the columns and __t, __k, __c (table, bucket, cell), sorted by these in each partition."""
-    rows = fps.withColumn("__b", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(fp).bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)])))
-    rows = rows.select(*fps.columns, F.col("__b.t").alias("__t"), F.col("__b.k").alias("__k"))
-    # counted where the bucket's rows stand: one shuffle; the count streams and spills, the bucket is never held
-    rows = rows.withColumn("__n", F.count(F.lit(1)).over(Window.partitionBy("__t", "__k"))).where("__n > 1")
+    Buckets are counted by an aggregate that combines before it shuffles; the written counts are joined back, which the
+    planner can split where a bucket is large."""
+    sizes = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), f"{tag}-buckets")
+    rows = rows.join(small(sizes), keys)
     chunks = F.ceil(F.col("__n") / cell_rows).cast("long")
-    own = F.pmod(F.xxhash64(F.col(fp), F.lit(7)), chunks)
+    own = F.pmod(F.xxhash64(F.col(by), F.lit(7)), chunks)
     pair = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda j: F.least(own, j) * chunks + F.greatest(own, j))
     rows = rows.withColumn("__c", F.explode(F.when(F.col("__n") <= cell_rows, F.array(F.lit(0).cast("long"))).otherwise(pair)))
-    return rows.drop("__n").repartition("__t", "__k", "__c").sortWithinPartitions("__t", "__k", "__c", fp)
+    return rows.drop("__n").repartition(*keys, "__c").sortWithinPartitions(*keys, "__c", by)
+
+
+def bucket_cells(fps: DataFrame, fp: str, masks: list[int], cell_rows: int = CELL_ROWS, tag: str = "simhash") -> DataFrame:
+    """Deals distinct fingerprints (bigint) to comparison cells, once for each mask: the columns and __t, __k, __c (table,
+    bucket, cell), sorted by these in each partition."""
+    rows = fps.withColumn("__b", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col(fp).bitwiseAND(F.lit(m)).alias("k")) for t, m in enumerate(masks)])))
+    rows = rows.select(*fps.columns, F.col("__b.t").alias("__t"), F.col("__b.k").alias("__k"))
+    return deal(rows, ["__t", "__k"], fp, cell_rows, tag)
 
 
-def hamming_forest(fps: DataFrame, fp: str, n_blocks: int, max_bits: int) -> DataFrame:
+def hamming_forest(fps: DataFrame, fp: str, n_blocks: int, max_bits: int, cell_rows: int = CELL_ROWS) -> DataFrame:
     """Links between distinct fingerprints at most max_bits apart: of each cell a spanning forest, so that the rows grow
     with the fingerprints and not with the pairs, while components are those of all links. Columns u, v (bigint)."""
 
@@ -171,7 +180,7 @@ def hamming_forest(fps: DataFrame, fp: str, n_blocks: int, max_bits: int) -> Dat
                 at = np.array(out)
                 yield pa.RecordBatch.from_arrays([pa.array(v[at[:, 0]]), pa.array(v[at[:, 1]])], ["u", "v"])
 
-    cells = bucket_cells(fps.select(fp), fp, block_masks(n_blocks, max_bits))
+    cells = bucket_cells(fps.select(fp), fp, block_masks(n_blocks, max_bits), cell_rows)
     return cells.mapInArrow(link, "u bigint, v bigint").distinct()
 
 

@@ -47,7 +47,7 @@ END_ID, CACHE = 2, 400_000
 #: Bytes of text that are encoded at a time (a longer text is encoded whole).
 SLICE = 8_000_000
 #: Ids in a file: FILE_TOKENS where there are many; on small inputs fewer, down to LEAST_TOKENS, so that each core has a file.
-FILE_TOKENS, LEAST_TOKENS = 64_000_000, 2_000_000
+FILE_TOKENS, LEAST_TOKENS = 16_000_000, 2_000_000
 #: Line ends to blanks; the same and A-Z to lower case.
 _BLANK = bytes(32 if b == 10 else b for b in range(256))
 _LOWER = bytes(b + 32 if 65 <= b < 91 else _BLANK[b] for b in range(256))
