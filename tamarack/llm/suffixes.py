@@ -6,7 +6,7 @@ A byte goes if a LENGTH-byte string that covers it also starts earlier (smaller
    windows have equal anchors at equal places inside, so only windows whose anchors have equal hashes can be equal. The
    windows that share an anchor are one context: their text is LENGTH + up to LENGTH - GRAM bytes, and there are about two
    contexts in LENGTH - GRAM + 1 bytes, where there is one window for each byte.
-2. Equal contexts (by a digest of the text and the anchor's place, beside the anchor's hash: 128 bits) are one: at the first
+2. Equal contexts (by the anchor's hash and a 64-bit digest of the text and the anchor's place) are one: at the first
    of them nothing is decided yet, all later ones go whole.
 3. Where different contexts share an anchor's hash, their suffixes are sorted: multikey quicksort on words of 8 bytes down to
    a shallow depth, all groups side by side; then each group that still has a common prefix by a blind (Patricia) trie.
@@ -14,8 +14,9 @@ A byte goes if a LENGTH-byte string that covers it also starts earlier (smaller
 
 Contexts that copies repeat meet in an aggregate per task first. Anchors that more than CELL contexts share aren't sorted
 in one task: their windows are dealt by a digest of their own text instead, and the earliest of each found by an
-aggregate. Bit maps of fixed size (BITS) spare the second pass what surely isn't needed; what they let through wrongly is
-removed by the joins that follow, so their size bounds memory and never changes a result.
+aggregate. Bit maps, sized by what they have to hold up to MAX_BITS, spare the second pass what surely isn't needed. What they
+let through wrongly never changes a result: equal contexts are joined exactly, and a context that is sorted needlessly either
+is alone or is a later copy, which goes anyway.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; rows without doc_id lose nothing and take
 nothing from others; rows that repeat a doc_id are one document that stands several times; an empty table returns no rows;
@@ -33,10 +34,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import group_numbers, grouped_batches, materialize, table
+from .common import group_numbers, grouped_batches, materialize, small, table
 
 LENGTH, GRAM = 100, 32
-SHALLOW, CELL, BITS = 4, 2048, 1 << 25
+SHALLOW, CELL = 4, 2048
+#: Bits of a map at least and at most (16 MB); between them 16 for each entry.
+BITS, MAX_BITS = 1 << 22, 1 << 27
 _TABLE = np.array([xxhash.xxh64_intdigest(bytes([b]), 5) for b in range(256)], np.uint64)
 _MULTIPLY = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(5)]
 KEYS = ["key", "c"]
@@ -227,31 +230,35 @@ def context_table(rows: DataFrame) -> DataFrame:
 
 
 def bit_map(rows: DataFrame, columns: list[str]) -> np.ndarray:
-    """A bit map of BITS bits with a bit set for the hash of each row: of fixed size, whatever the rows are."""
+    """A bit map with a bit set for the hash of each row of a written table."""
+    size = min(MAX_BITS, max(BITS, 1 << (16 * rows.count()).bit_length()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS, bool)
+        bits = np.zeros(size, bool)
         for b in batches:
-            bits[_hash(*[c.to_numpy() for c in b.columns])] = True
+            bits[_hash(size, *[c.to_numpy() for c in b.columns])] = True
         words = np.packbits(bits, bitorder="little").view("<i8")
         used = np.flatnonzero(words)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(words[used])], ["at", "bits"])
+        for at in range(0, len(used), 100_000):
+            part = used[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(words[part])], ["at", "bits"])
 
-    got = rows.select(*columns).coalesce(64).mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
-    words = np.zeros(BITS // 64, np.int64)
+    got = rows.select(*columns).coalesce(16).mapInArrow(run, "at bigint, bits bigint").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.int64)
     words[got.column("at").to_numpy()] = got.column("bits").to_numpy()
     return words.view(np.uint8)
 
 
-def _hash(*values: np.ndarray) -> np.ndarray:
+def _hash(size: int, *values: np.ndarray) -> np.ndarray:
     h = np.zeros(len(values[0]), np.uint64)
     for v in values:
         h = (h ^ v.astype(np.int64).view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(32)
-    return (h % np.uint64(BITS)).astype(np.int64)
+    return (h & np.uint64(size - 1)).astype(np.int64)
 
 
-def _has(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+def _has(bits: np.ndarray, *values: np.ndarray) -> np.ndarray:
+    at = _hash(8 * len(bits), *values)
     return bits[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
 
 
@@ -264,7 +271,7 @@ def second_pass(rows: DataFrame, repeated: np.ndarray, shared: np.ndarray) -> Da
         in_repeated, in_shared = maps.value
         for columns, texts, number in _parts(batches):
             key, c, doc, lo, meta = columns
-            for mask, cut in ((_has(in_repeated, _hash(key, c)), False), (_has(in_shared, _hash(key, c, doc, lo)), True)):
+            for mask, cut in ((_has(in_repeated, key, c), False), (_has(in_shared, key, c, doc, lo), True)):
                 i = np.flatnonzero(mask)
                 if len(i):
                     ends = (lo[i] + (meta[i] & 127) + LENGTH).tolist()
@@ -337,8 +344,9 @@ def removed_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     found = materialize(second_pass(rows, bit_map(repeated, KEYS), bit_map(shared, [*KEYS, "doc", "lo"])), "contexts-found")
     later = found.where("text IS NULL").join(repeated.select(*KEYS, F.col("doc").alias("__d"), F.col("lo").alias("__l")), KEYS).where("doc <> __d OR lo <> __l")
     spans = later.select("doc", F.col("lo").cast("bigint").alias("a"), (F.col("lo") + F.col("meta").bitwiseAND(F.lit(127).cast("smallint")) + LENGTH).cast("bigint").alias("b"))
-    cut = found.where("text IS NOT NULL").join(shared.select(*KEYS, "doc", "lo", "m"), [*KEYS, "doc", "lo"]).dropDuplicates([*KEYS, "doc", "lo"])
-    for part in (sorted_spans(cut.where(f"m <= {CELL}")), hashed_spans(cut.where(f"m > {CELL}"))):
+    cut = found.where("text IS NOT NULL")
+    hot = small(materialize(shared.where(f"m > {CELL}").select("key").distinct(), "contexts-hot"))
+    for part in (sorted_spans(cut.join(hot, "key", "left_anti")), hashed_spans(cut.join(hot, "key", "left_semi"))):
         spans = spans.unionByName(part.select("doc", "a", (F.col("b") + LENGTH - 1).alias("b")))
     return spans.groupBy("doc").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
 
