@@ -40,6 +40,10 @@ def scratch(spark: SparkSession, tag: str) -> str:
 BROADCAST_ROWS = 500_000
 
 
+#: Buckets (keys and a count: some 20 bytes) that may be broadcast.
+BUCKET_ROWS = 1_500_000
+
+
 def small(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
     """df, a written table, marked to be broadcast if it has at most so many rows; else as it is, and the planner joins by key."""
     return F.broadcast(df) if df.count() <= most else df
@@ -150,7 +154,7 @@ def deal(rows: DataFrame, keys: list[str], by: str, cell_rows: int, tag: str) ->
     Buckets are counted by an aggregate that combines before it shuffles; the written counts are joined back, which the
     planner can split where a bucket is large."""
     sizes = materialize(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1"), f"{tag}-buckets")
-    rows = rows.join(small(sizes), keys)
+    rows = rows.join(small(sizes, BUCKET_ROWS), keys)
     chunks = F.ceil(F.col("__n") / cell_rows).cast("long")
     own = F.pmod(F.xxhash64(F.col(by), F.lit(7)), chunks)
     pair = F.transform(F.sequence(F.lit(0).cast("long"), chunks - 1), lambda j: F.least(own, j) * chunks + F.greatest(own, j))
