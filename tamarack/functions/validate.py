@@ -56,8 +56,11 @@ def descriptions(values: Column) -> Column:
 
 
 def total_or_zero(parent: Column, field: str) -> Column:
-    """parent.field, 0 where there is no parent."""
-    return F.when(parent.isNull(), 0).otherwise(parent[field])
+    """The number at a field of an object in JSON text: 0 where there is no object or it lacks the field, null only where the
+    field is null itself."""
+    value = F.from_json(parent, "map<string,string>")[field]
+    has = F.array_contains(F.json_object_keys(parent), field)
+    return F.when(F.coalesce(has, F.lit(False)), value.try_cast("int")).otherwise(0)
 
 
 def requirements(raw: Column, clean) -> Column:

@@ -18,9 +18,15 @@ COLUMNS = [
 ]
 
 
+#: Types of the published columns that aren't text, for those that a table lacks.
+TYPES = dict.fromkeys(("appid", "fullgame_appid", "base_appid", "recommendations_total", "metacritic_score"), "int")
+TYPES |= dict.fromkeys(("developers", "publishers", "categories", "genres"), "array<string>") | {"is_free": "boolean", "platforms": "struct<windows:boolean,mac:boolean,linux:boolean>"}
+TYPES |= dict.fromkeys(("pc_requirements", "mac_requirements", "linux_requirements"), "struct<minimum:string,recommended:string>")
+
+
 def conform(df: DataFrame, columns: list[str]) -> DataFrame:
-    """df with these columns in this order; missing ones are null."""
-    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    """df with these columns in this order; missing ones are null, of the type that they have elsewhere."""
+    return df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(TYPES.get(c, "string")).alias(c) for c in columns])
 
 
 def load_candidates(trusted: DataFrame, run_date: date | None = None) -> DataFrame:

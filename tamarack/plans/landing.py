@@ -18,7 +18,8 @@ DETAILS = (
     "developers array<string>, publishers array<string>, price_overview struct<currency:string,initial:string,final:string,discount_percent:string,"
     "initial_formatted:string,final_formatted:string>, platforms struct<windows:boolean,mac:boolean,linux:boolean>, categories array<struct<description:string>>,"
     "genres array<struct<description:string>>, release_date struct<date:string>, recommendations struct<total:int>, metacritic struct<score:int>,"
-    "ratings struct<esrb:struct<rating:string>,pegi:struct<rating:string>,usk:struct<rating:string>,cero:struct<rating:string>>, dlc array<string>, fullgame struct<appid:string,name:string>"
+    "ratings struct<esrb:struct<rating:string>,pegi:struct<rating:string>,usk:struct<rating:string>,cero:struct<rating:string>>,"
+    "age_ratings struct<esrb:string,pegi:string,usk:string,cero:string>, dlc array<string>, fullgame struct<appid:string,name:string>"
 )
 TEXTS = ("name", "detailed_description", "about_the_game", "short_description", "supported_languages", "legal_notice")
 
@@ -27,18 +28,21 @@ def games(raw: DataFrame, run_date: date, clean=T.clean_text, dates: bool = True
     """raw (appid, details as JSON text) to trusted rows; details that are null give a row of blanks, which keeps the id from
     being asked for again. dates=False leaves release dates as they came."""
     d = F.from_json("details", DETAILS)
-    rows = raw.select("appid", d.alias("d"))
+    rows = raw.select("appid", "details", d.alias("d"))
     c = lambda x: F.col(f"d.{x}")
     cleaned = {x: clean(c(x)).alias(x) for x in TEXTS}
     needs = {f"{x}_requirements": V.requirements(c(f"{x}_requirements"), clean).alias(f"{x}_requirements") for x in ("pc", "mac", "linux")}
     when = F.coalesce(c("release_date.date"), F.lit(""))
+    names = lambda x: F.coalesce(c(x), F.array().cast("array<string>")).alias(x)
+    # two names of the field are in use, and under the first an object that holds the code or the code itself
+    codes = {s: F.coalesce(F.get_json_object(c(f"age_ratings.{s}"), "$.rating"), c(f"age_ratings.{s}"), c(f"ratings.{s}.rating")) for s in V.AGE_RATINGS}
     return rows.select(
-        "appid", c("type").alias("type"), cleaned["name"], V.required_age(c("required_age")).alias("required_age"), c("is_free").alias("is_free"),
-        F.coalesce(c("controller_support"), F.lit("")).alias("controller_support"), *[cleaned[x] for x in TEXTS[1:]], *needs.values(),
-        c("developers").alias("developers"), c("publishers").alias("publishers"), F.when(c("price_overview").isNotNull(), c("price_overview").withField("final", V.price(c("price_overview.final")))).alias("price_overview"),
+        "appid", clean(c("type")).alias("type"), cleaned["name"], V.required_age(c("required_age")).alias("required_age"), F.coalesce(c("is_free"), F.lit(False)).alias("is_free"),
+        clean(c("controller_support")).alias("controller_support"), *[cleaned[x] for x in TEXTS[1:]], *needs.values(),
+        names("developers"), names("publishers"), F.when(c("price_overview").isNotNull(), c("price_overview").withField("final", V.price(c("price_overview.final")))).alias("price_overview"),
         c("platforms").alias("platforms"), V.descriptions(c("categories")).alias("categories"), V.descriptions(c("genres")).alias("genres"),
-        (V.release_date(when) if dates else when).alias("release_date"), V.total_or_zero(c("recommendations"), "total").alias("recommendations_total"), c("metacritic.score").alias("metacritic_score"),
-        V.age_rating(**{s: c(f"ratings.{s}.rating") for s in V.AGE_RATINGS}).alias("age_rating"), V.int_array(c("dlc")).alias("dlc"), V.parent_item(c("fullgame"), clean).alias("fullgame"),
+        (V.release_date(when) if dates else when).alias("release_date"), V.total_or_zero(F.get_json_object("details", "$.recommendations"), "total").alias("recommendations_total"), c("metacritic.score").alias("metacritic_score"),
+        V.age_rating(**codes).alias("age_rating"), V.int_array(c("dlc")).alias("dlc"), V.parent_item(c("fullgame"), clean).alias("fullgame"),
         F.lit(run_date.isoformat()).alias("updated_at"),
     )
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,42 +19,45 @@ PARTS = "appid int, name string"
 PLAYERS = "appid int, name string, current_players int, timestamp string"
 
 
-def ndjson(spark: SparkSession, folder: str, schema: str, prefix: str = "") -> DataFrame:
+def there(spark: SparkSession, path: str) -> bool:
+    """Whether a path (or a glob) has anything: only that gives an empty table, other errors are raised."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at)
+    return found is not None and len(found) > 0
+
+
+def ndjson(spark: SparkSession, folder: str, schema: str, prefix: str = "", suffix: str = "*.ndjson") -> DataFrame:
     """All prefix*.ndjson files of a folder."""
-    try:
-        return spark.read.schema(schema).option("pathGlobFilter", f"{prefix}*.ndjson").json(folder)
-    except AnalysisException:
+    if not there(spark, folder):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("pathGlobFilter", f"{prefix}{suffix}").json(folder)
 
 
 def dated_ndjson(spark: SparkSession, folder: str, schema: str, prefix: str, run_date: date) -> DataFrame:
-    """The file of one day, prefix_YYYY_MM_DD.ndjson."""
-    return ndjson(spark, folder, schema, f"{prefix}_{run_date:%Y_%m_%d}")
+    """The file of one day, prefix_YYYY_MM_DD.ndjson and no other."""
+    return ndjson(spark, folder, schema, f"{prefix}_{run_date:%Y_%m_%d}", ".ndjson")
 
 
 def tagged_ndjson(spark: SparkSession, folder: str, schema: str, prefix: str, name: str) -> DataFrame:
     """All files with the part of their name behind prefix as a column; unreadable files are skipped."""
-    try:
-        rows = spark.read.schema(schema).option("pathGlobFilter", f"{prefix}*.ndjson").option("ignoreCorruptFiles", True).json(folder)
-    except AnalysisException:
+    if not there(spark, folder):
         return spark.createDataFrame([], f"{schema}, {name} string")
+    rows = spark.read.schema(schema).option("pathGlobFilter", f"{prefix}*.ndjson").option("ignoreCorruptFiles", True).json(folder)
     return rows.withColumn(name, id_from_file(F.col("_metadata.file_name"), prefix))
 
 
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that hold one JSON array each; missing or malformed gives no rows."""
-    try:
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
-    except AnalysisException:
+    if not there(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("multiLine", True).option("mode", "DROPMALFORMED").json(path)
 
 
 def numbered_parts(spark: SparkSession, folder: str, schema: str, prefix: str) -> DataFrame:
     """prefix<n>.json files as (part, position, fields); files without a number are left out."""
-    try:
-        raw = spark.read.option("pathGlobFilter", f"{prefix}*.json").text(folder, wholetext=True)
-    except AnalysisException:
+    if not there(spark, folder):
         return spark.createDataFrame([], f"part int, position int, {schema}")
+    raw = spark.read.option("pathGlobFilter", f"{prefix}*.json").text(folder, wholetext=True)
     part = F.regexp_extract(F.col("_metadata.file_name"), rf"^{prefix}(\d+)\.json$", 1).try_cast("int")
     rows = raw.select(part.alias("part"), F.from_json("value", f"array<struct<{schema.replace(' ', ':').replace(',:', ',')}>>").alias("items")).where("part IS NOT NULL")
     return rows.select("part", F.posexplode("items").alias("position", "item")).select("part", "position", "item.*")

@@ -40,9 +40,13 @@ def replace(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
     source, _ = _path(spark, staged)
     old, _ = _path(spark, f"{staged}.old")
     had = fs.exists(target)
-    if had:
-        fs.rename(target, old)
-    fs.rename(source, target)
+    # rename may report failure by its result alone; the old table goes only once the new one stands in its place
+    if had and not fs.rename(target, old):
+        raise OSError(f"{path} can't be moved aside; the new rows are in {staged}")
+    if not fs.rename(source, target):
+        if had and not fs.rename(old, target):
+            raise OSError(f"{path} is in {staged}.old now, the new rows are in {staged}")
+        raise OSError(f"{path} can't be replaced; the new rows are in {staged}")
     if had:
         fs.delete(old, True)
 

@@ -28,6 +28,9 @@ def landing(tmp_path):
         game(10, "Foo DLC", "dlc", fullgame={"appid": "1", "name": "Foo"}),
         game(11, "Foo DLC 2", "dlc", fullgame={"appid": "1"}),
         game(12, "Lost DLC", "dlc", fullgame={"appid": "2"}),
+        game(20, "Aged", "<i>demo</i>", age_ratings={"esrb": {"rating": "M"}}, controller_support="<b>full</b>", recommendations={}),
+        game(21, "Older", "demo", ratings={"esrb": {"rating": "zz"}, "pegi": {"rating": "12"}}, recommendations={"total": None}),
+        game(22, "Code", "demo", age_ratings={"usk": "6"}),
         {"appid": 4, "details": None},
     ]
     (tmp_path / "games_2024_05_01.ndjson").write_text("\n".join(map(json.dumps, rows)))
@@ -41,7 +44,9 @@ def test_games_from_landing_to_published(spark, landing):
     by = {r["appid"]: r for r in trusted.collect()}
     assert by[1]["name"] == "Foo" and by[1]["dlc"] == [10] and by[1]["release_date"] == "2021-10-05" and by[1]["age_rating"] is None and by[1]["genres"] == ["Action"]
     assert by[2]["price_overview"]["final"] is None and by[2]["mac_requirements"]["minimum"] == "8 GB" and by[3]["required_age"] == "0"
-    assert by[4]["name"] == "" and by[4]["type"] is None and by[10]["fullgame"]["appid"] == 1
+    assert by[4]["name"] == "" and by[4]["type"] == "" and by[4]["is_free"] is False and by[4]["developers"] == [] and by[4]["recommendations_total"] == 0 and by[10]["fullgame"]["appid"] == 1
+    assert (by[20]["age_rating"], by[20]["type"], by[20]["controller_support"], by[20]["recommendations_total"]) == ("17+", "demo", "full", 0)
+    assert by[21]["age_rating"] == "12+" and by[22]["age_rating"] == "6+" and by[21]["recommendations_total"] is None and by[1]["recommendations_total"] == 5
     out = {r["appid"]: r for r in P.full_refresh(trusted).collect()}
     assert set(out) == {1, 3} and [d["appid"] for d in out[1]["dlc"]] == [10, 11] and out[3]["dlc"] == []
     games, children = P.incremental(trusted, DAY)
@@ -121,3 +126,17 @@ def test_streaming_load(spark, tmp_path):
         (folder / f"news_{n}.ndjson").write_text("\n".join(json.dumps({"gid": g, "title": "t", "contents": "c", "date": 1, "appid": 1}) for g in gids))
         I.load_new(I.available_files(spark, str(folder), R.NEWS), clean, path, ["gid"], mark)
     assert sorted(r["gid"] for r in spark.read.parquet(path).collect()) == ["1", "2", "3"]
+
+
+def test_one_day_is_one_file_and_errors_are_raised(spark, tmp_path):
+    for name in ("search_2024_01_01", "search_2024_01_01b"):
+        (tmp_path / f"{name}.ndjson").write_text('{"appid": 1}\n')
+    assert R.dated_ndjson(spark, str(tmp_path), "appid int", "search", date(2024, 1, 1)).count() == 1
+    assert R.ndjson(spark, str(tmp_path / "none"), "appid int").isEmpty()
+    with pytest.raises(Exception):
+        R.ndjson(spark, str(tmp_path), "appid nonsense")
+
+
+def test_missing_columns_keep_their_types(spark):
+    out = P.conform(spark.createDataFrame([(1,)], "appid int"), P.COLUMNS)
+    assert out.columns == P.COLUMNS and out.schema["developers"].dataType.simpleString() == "array<string>" and out.schema["is_free"].dataType.simpleString() == "boolean"
