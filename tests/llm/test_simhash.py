@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import xxhash
@@ -69,17 +70,59 @@ def test_large_bucket_is_cut_into_cells(spark):
     frame = spark.createDataFrame([(simhash._signed(x),) for x in fps], "fp long")
     masks = common.block_masks(6, 3)
     assert len(masks) == 20
-    whole = common.hamming_forest(frame, "fp", 6, 3)
     cells = common.bucket_cells(frame, "fp", masks, 16).groupBy("__t", "__k", "__c").count()
     assert cells.agg(F.max("count")).first()[0] < 120
-    old, common.CELL_ROWS = common.CELL_ROWS, 16
-    roots = {r["node"]: r["root"] for r in common.components(whole).collect()}
-    common.CELL_ROWS = old
     signed = [simhash._signed(x) for x in fps]
     want = dict(zip(signed, groups(signed, fps), strict=True))
-    for x in signed:
-        assert want[roots.get(x, x)] == want[x]
-    assert len({roots.get(x, x) for x in signed}) == len(set(want.values()))
+    for rows in (common.CELL_ROWS, 16):  # 16: every bucket of note is cut into cells
+        roots = {r["node"]: r["root"] for r in common.components(common.hamming_forest(frame, "fp", 6, 3, rows)).collect()}
+        for x in signed:
+            assert want[roots.get(x, x)] == want[x]
+        assert len({roots.get(x, x) for x in signed}) == len(set(want.values()))
+
+
+def similar(ids, texts, least=0.8, size=5):
+    """The smallest id reachable over texts whose shingle sets have this Jaccard similarity, all pairs compared."""
+    table = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    words = [re.findall(r"[^\x20\x09-\x0D]+", t.translate(table)) for t in texts]
+    sets = [{tuple(w[i : i + size]) for i in range(len(w) - size + 1)} or {tuple(w)} for w in words]
+    name = dict(zip(ids, ids, strict=True))
+
+    def find(x):
+        while name[x] != x:
+            x = name[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            if min(len(a), len(b)) >= least * max(len(a), len(b)) and len(a & b) >= least * len(a | b):
+                x, y = find(ids[i]), find(ids[j])
+                name[max(x, y)] = min(x, y)
+    return [find(i) for i in ids]
+
+
+def test_similar_groups(spark, documents):
+    rng = random.Random(12)
+    vocab = [f"{a}{b}{c}" for a in "bdfgklmnprst" for b in "aeiou" for c in ("", "n", "rt", "st")]
+    docs = list(zip(documents.doc_id.tolist(), documents.text.tolist(), strict=True))
+    near = []
+    for k in range(150):  # copies between 0.8 and 1
+        words = rng.choices(vocab, k=rng.choice([40, 120, 400, 1500]))
+        copy = list(words)
+        for i in rng.sample(range(len(words)), max(1, len(words) // rng.choice([55, 80, 200]))):
+            copy[i] = rng.choice(vocab)
+        near.append((100_000 + 2 * k, " ".join(words)))
+        near.append((100_001 + 2 * k, " ".join(copy).upper()))
+    for rows in (docs, near):
+        ids, texts = [d for d, _ in rows], [t or "" for _, t in rows]
+        want = dict(zip(ids, similar(ids, texts), strict=True))
+        frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        got = {r["id"]: r["component_id"] for r in simhash.similar_groups(frame, cell_rows=8).collect()}
+        assert set(got) == set(want)
+        links = sum(a != b for a, b in want.items())
+        assert all(want[got[d]] == want[d] for d in got)  # nothing is linked wrongly
+        assert links and sum(got[d] == want[d] for d in got if want[d] != d) >= 0.9 * links
 
 
 def test_majority():
