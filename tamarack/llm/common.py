@@ -26,6 +26,9 @@ def shared_dir(spark: SparkSession) -> str:
     key = "spark.checkpoint.dir"
     found = spark.conf.get(key, None) or spark.sparkContext.getConf().get(key)
     if not found:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"{key} isn't set: driver and executors need a folder that they share")
         found = "file://" + tempfile.mkdtemp(prefix="tamarack-shared-")
         spark.conf.set(key, found)
     return found.rstrip("/")
