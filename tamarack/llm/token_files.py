@@ -115,6 +115,11 @@ class WordEncoder:
             self.last = np.zeros(self.size, bool)
             self.last[[i for t, i in settings["model"]["vocab"].items() if t.endswith(settings["model"]["end_of_word_suffix"])]] = True
 
+    def special(self, word: bytes) -> bool:
+        """Whether an added token stands in a word, in whatever case."""
+        folded = word.lower()
+        return any(t in folded for t in self.added)
+
     def library(self, words: list[bytes]) -> dict[bytes, bytes]:
         """Ids of words. What consists of ASCII marks, digits and letters of ASCII and Latin-1 only is cut here as BY_WORD cuts
         it (its normalisation is lower case) and goes to the model in one text, blanks between the pieces; as the last id of
@@ -127,7 +132,7 @@ class WordEncoder:
                 known.append(w)
                 pieces.append(word.lower())
                 n.append(1)
-            elif _KNOWN.fullmatch(text := word.decode()):
+            elif _KNOWN.fullmatch(text := word.decode()) and not self.special(word):
                 cut = _PIECE.findall(text.lower())
                 known.append(w)
                 pieces += [x.encode() for x in cut]
@@ -207,6 +212,14 @@ def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def byte_slices(batch: pa.RecordBatch, column: int, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about so many bytes of text; a longer text is in a slice with what stands before it."""
+    size = pc.binary_length(pc.fill_null(batch.column(column), "")).to_numpy()
+    cuts = np.flatnonzero(np.diff(np.cumsum(size) // most, prepend=0)) if len(size) else []
+    for at, to in pairwise([0, *(int(c) + 1 for c in cuts if c + 1 < len(size)), len(size)]):
+        yield batch.slice(at, to - at)
+
+
 def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ids (binary, little-endian, the end id last) for each row."""
 
@@ -214,10 +227,7 @@ def encode_documents(docs: DataFrame, path: str, end_id: int = END_ID, id_col: s
         enc = word_encoder(path)
         end = pa.scalar(np.array([end_id], enc.dtype).tobytes(), pa.binary())
         for b in batches:
-            size = pc.binary_length(pc.fill_null(b.column(1), "")).to_numpy()
-            cuts = np.flatnonzero(np.diff(np.cumsum(size) // SLICE, prepend=0)) if len(size) else []
-            for at, to in pairwise([0, *(int(c) + 1 for c in cuts if c + 1 < len(size)), len(size)]):
-                part = b.slice(at, to - at)
+            for part in byte_slices(b, 1, SLICE):
                 ids = pc.binary_join_element_wise(enc.encode_batch(part.column(1)), end, pa.scalar(b"", pa.binary()))
                 yield pa.RecordBatch.from_arrays([part.column(0), ids], ["id", "ids"])
 

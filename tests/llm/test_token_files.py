@@ -37,6 +37,14 @@ def test_words_apart_equal_the_whole_text(text):
     assert [*ids, tf.END_ID] == plain(text)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "a", " ", "B.", "é", "|>"]), max_size=12))
+def test_added_tokens_get_their_ids(parts):
+    text = "".join(parts)
+    ids = np.frombuffer(tf.word_encoder(PATH).encode_batch(pa.array([text], pa.string()))[0].as_py(), "<u2").tolist()
+    assert [*ids, tf.END_ID] == plain(text)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.none() | st.text(st.sampled_from("ab é.,! \n漢"), max_size=12), max_size=8))
 def test_texts_of_a_batch_stay_apart(texts):
