@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, chunks, decontaminate, licenses, lines, quality, simhash, suffixes, token_files, warc
+from . import automaton, bpe, chunks, decontaminate, licenses, lines, quality, simhash, suffixes, token_files, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,5 +15,6 @@ QUERIES = {
     "op8_byte_bpe": bpe.op8_byte_bpe,
     "op9_warc": warc.op9_warc,
     "op10_decontamination": decontaminate.op10_decontamination,
+    "op11_bpe_automaton": automaton.op11_bpe_automaton,
 }
 ORACLE_SQL: dict[str, str] = {}
