@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import automaton, bpe, chunks, decontaminate, licenses, lines, quality, simhash, suffixes, token_files, warc
+from . import automaton, bpe, chunks, codes, decontaminate, licenses, lines, quality, search, simhash, suffixes, token_files, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -16,5 +16,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_decontamination": decontaminate.op10_decontamination,
     "op11_bpe_automaton": automaton.op11_bpe_automaton,
+    "op12_lexical_search": search.op12_lexical_search,
+    "op13_vector_codes": codes.op13_vector_codes,
 }
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op12_lexical_search": search.SQL, "op13_vector_codes": codes.SQL}
