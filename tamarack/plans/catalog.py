@@ -1,8 +1,8 @@
-"""The library's queries by name, and the SQL that DuckDB can hold them against."""
+"""Queries on text, types, keys and publishing, each with its SQL. models.py and zones.py hold the others."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -11,24 +11,7 @@ from ..operators import keyed as K
 from ..operators import publish as P
 from ..operators import vectors as X
 from . import landing as L
-
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
-
-
-def query(sql: str | None = None):
-    def put(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return put
-
-
-def t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
+from .registry import ORACLE_SQL, QUERIES, query, t  # noqa: F401
 
 NNAME = "lower(regexp_replace(regexp_replace(trim(p_name),'[™®]','','g'),'\\s+',' ','g'))"
 RANKED = f"""SELECT p.*, {NNAME} AS nname, coalesce(r.refs, 0) AS refs,
@@ -259,13 +242,6 @@ def similar_items(spark, d):
     return X.similar(e, e.where("vec_id = 0"), "embedding", "vec_id", 0.2).select("vec_id", F.round("similarity", 4).alias("similarity"))
 
 
-@query(f"SELECT NULL::BIGINT AS input_appid, 'query' AS input_name, 'a; b' AS input_genres, s.vec_id AS similar_appid, d.source AS similar_name, s.label AS cluster, s.similarity FROM ({SIMILAR}) s JOIN documents d ON d.doc_id = s.vec_id")
-def similarity_report(spark, d):
-    e = t(spark, d, "embeddings")
-    found = X.similar(e, e.where("vec_id = 0"), "embedding", "vec_id", 0.2).join(t(spark, d, "documents"), F.col("doc_id") == F.col("vec_id"))
-    return found.select(F.lit(None).cast("bigint").alias("input_appid"), F.lit("query").alias("input_name"), F.array_join(F.array(F.lit("a"), F.lit("b")), "; ").alias("input_genres"), F.col("vec_id").alias("similar_appid"), F.col("source").alias("similar_name"), F.col("label").alias("cluster"), F.round("similarity", 4).alias("similarity"))
-
-
 @query()
 def cluster_assign(spark, d):
     return X.fit_clusters(t(spark, d, "embeddings"), "embedding", 5)[1].select("vec_id", "cluster")
