@@ -105,3 +105,8 @@ def epoch_date(seconds: Column) -> Column:
 
 def price_text(value: Column) -> Column:
     return F.coalesce(value.cast("string"), F.lit(""))
+
+
+def polled_players(count: Column) -> Column:
+    """A polled number of players; a poll that failed is -1."""
+    return F.coalesce(count, F.lit(-1)).cast("bigint")

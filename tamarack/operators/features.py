@@ -14,7 +14,7 @@ from pyspark.ml.feature import IDF, CountVectorizerModel, HashingTF, Normalizer,
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.sinks import replace
+from ..sources.sinks import read_version, write_version
 from .vectors import MAX_K, MIN_K, SEED, best_k
 
 #: Buckets of words; the largest vocabulary of labels that becomes a vector of its own.
@@ -85,11 +85,11 @@ def save_run(model: PipelineModel, scores: list[tuple[int, float]], items: DataF
     spark.createDataFrame([(k, float(s), k == best) for k, s in scores], "k int, silhouette_score double, best boolean").coalesce(1).write.mode("overwrite").parquet(f"{at}/scores")
     out = model.transform(items).select(F.col(key).alias("key"), F.col(name).alias("name"), "cluster", "features_raw", "features_unit")
     out.write.mode("overwrite").parquet(f"{at}/items")
-    replace(spark.createDataFrame([(run,)], "run string").coalesce(1), f"{folder}/latest")
+    write_version(spark.createDataFrame([(run,)], "run string").coalesce(1), f"{folder}/latest")
 
 
 def latest_run(spark: SparkSession, folder: str) -> str:
-    return spark.read.schema("run string").parquet(f"{folder}/latest").first()["run"]
+    return read_version(spark, f"{folder}/latest").first()["run"]
 
 
 def load_run(spark: SparkSession, folder: str, run: str | None = None) -> tuple[PipelineModel, DataFrame, DataFrame]:

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import normalize_title
-from .keyed import attach_nested, keep_one, nest
+from ..sources.shared import settled
+from ..sources.sinks import append_days, read_days, table_exists
+from .keyed import any_order, attach_nested, count_children, insert_only_new, keep_one, nest, union_all, upsert_three_step
 
 #: The published columns in their order; children carry the id of their parent in place of the array.
 COLUMNS = [
@@ -45,18 +47,22 @@ def winners(rows: DataFrame) -> DataFrame:
     """One game for each normalised title: referenced by add-ons first, then listing add-ons, more references, more
     recommendations, the larger id."""
     children = rows.where("type = 'dlc' AND fullgame_appid IS NOT NULL")
-    refs = children.groupBy(F.col("fullgame_appid").alias("__a")).agg(F.countDistinct("appid").alias("__refs"))
-    games = rows.where("type = 'game'").withColumn("__name", normalize_title(F.col("name")))
-    games = games.join(refs, F.col("appid") == F.col("__a"), "left").withColumn("__refs", F.coalesce("__refs", F.lit(0)))
+    games = count_children(rows.where("type = 'game'"), children, "appid", "fullgame_appid", "__refs", distinct="appid")
     listed = F.size("dlc") > 0 if "dlc" in rows.columns else F.lit(False)
-    order = [F.desc((F.col("__refs") > 0).cast("int")), F.desc(listed.cast("int")), F.desc("__refs"), F.desc(F.coalesce(F.col("recommendations_total").cast("long"), F.lit(0))), F.desc("appid")]
-    return keep_one(games, ["__name"], order).drop("__name", "__a", "__refs")
+    games = games.withColumns({"__listed": listed.cast("int"), "__votes": F.coalesce(F.col("recommendations_total").cast("long"), F.lit(0))})
+    return rank_titles(games, "name", "__refs", "__listed", "__votes", "appid").where("rn = 1").drop("rn", "__refs", "__listed", "__votes")
 
 
-def full_refresh(trusted: DataFrame) -> DataFrame:
+def full_refresh(trusted: DataFrame, repoint: bool = False) -> DataFrame:
+    """The whole published table. Children of a game that isn't its title's winner are dropped; with repoint they go to the
+    winner."""
     rows = load_candidates(trusted)
     best = winners(rows).drop("dlc")
     children = rows.where("type = 'dlc' AND fullgame_appid IS NOT NULL").withColumn("base_appid", F.col("fullgame_appid"))
+    if repoint:
+        titles = best.select(normalize_title(F.col("name")).alias("__title"), F.col("appid").alias("__winner"))
+        games = rows.where("type = 'game'").select(F.col("appid").alias("__game"), normalize_title(F.col("name")).alias("__title")).join(titles, "__title").drop("__title")
+        children = children.join(games, F.col("fullgame_appid") == F.col("__game")).withColumn("base_appid", F.col("__winner")).drop("__game", "__winner")
     children = keep_one(children, ["base_appid", "appid"], [F.desc("updated_at"), F.desc("name")])
     # the winners' side is narrow; whether it is broadcast is the planner's choice by its size
     children = children.join(best.select(F.col("appid").alias("base_appid")), "base_appid", "left_semi")
@@ -64,6 +70,64 @@ def full_refresh(trusted: DataFrame) -> DataFrame:
     return attach_nested(conform(best, COLUMNS), embedded.withColumnRenamed("base_appid", "appid"), "appid", "dlc")
 
 
+def current(trusted: DataFrame) -> DataFrame:
+    """The last version of each record by (type, appid)."""
+    return keep_one(trusted, ["type", "appid"], [F.desc("updated_at"), *any_order(trusted.columns)])
+
+
+def rebuild(trusted: DataFrame, until: str, repoint: bool = False) -> DataFrame:
+    """The published table from all records up to a day."""
+    return full_refresh(current(load_candidates(trusted.where(F.col("updated_at") <= until))), repoint)
+
+
+def refresh_titles(published: DataFrame, trusted: DataFrame, since: str, until: str, repoint: bool = False) -> DataFrame:
+    """published, brought from day since to day until so that it equals a rebuild: only titles that the records of these days
+    touch are computed anew, from all their records. Touched are the titles of each version of a game that came, and of the games
+    that any version of a child that came belongs to. Untouched rows are read once and copied."""
+    rows = load_candidates(trusted.where(F.col("updated_at") <= until))
+    came = rows.where(F.col("updated_at") > since).select("type", "appid")
+    games = rows.where("type = 'game'").withColumn("__title", normalize_title(F.col("name")))
+    children = rows.where("type = 'dlc' AND fullgame_appid IS NOT NULL")
+    parents = children.join(came.where("type = 'dlc'").select("appid").distinct(), "appid", "left_semi").select(F.col("fullgame_appid").alias("appid"))
+    ids = parents.unionByName(came.where("type = 'game'").select("appid")).distinct()
+    touched = settled(games.join(ids, "appid", "left_semi").select("__title").distinct(), "titles")
+    # a game that left a title has a version there, so the versions of these titles' games hold all that the titles need
+    own = games.join(touched, "__title", "left_semi").select("appid").distinct()
+    part = games.drop("__title").join(own, "appid", "left_semi")
+    theirs = children.join(own.withColumnRenamed("appid", "fullgame_appid"), "fullgame_appid", "left_semi").select("appid").distinct()
+    part = part.unionByName(children.join(theirs, "appid", "left_semi").select(*part.columns))
+    anew = full_refresh(current(part), repoint).withColumn("__title", normalize_title(F.col("name")))
+    anew = anew.join(touched, "__title", "left_semi").drop("__title")  # titles that a touched game moved from or to are all touched
+    kept = published.withColumn("__title", normalize_title(F.col("name"))).join(touched, "__title", "left_anti").drop("__title")
+    return kept.unionByName(anew)
+
+
+def differences(left: DataFrame, right: DataFrame) -> DataFrame:
+    """One row: how many rows each has, and how many of them the other lacks (repeated rows count as often as they stand)."""
+    right = right.select(*left.columns)
+    sides = {"n_left": left, "n_right": right, "only_left": left.exceptAll(right), "only_right": right.exceptAll(left)}
+    counts = union_all([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n") for name, df in sides.items()])
+    return counts.agg(*[F.sum(F.when(F.col("side") == name, F.col("n"))).alias(name) for name in sides])
+
+
+def attach_children(published: DataFrame, children: DataFrame, union: bool = False) -> DataFrame:
+    """published with children (base_appid, dlc_doc) added to their games' dlc. A child with the id of one that is there takes its
+    place; with union it is added beside it unless it is equal. Children of games that aren't published are left out."""
+    more = children.groupBy(F.col("base_appid").alias("__base")).agg(F.array_sort(F.collect_set("dlc_doc") if union else F.collect_list("dlc_doc")).alias("__more"))
+    none = F.array().cast(published.schema["dlc"].dataType)
+    old, new = F.coalesce("dlc", none), F.coalesce("__more", none)
+    ids = F.transform(new, lambda x: x["appid"])
+    both = F.array_union(old, new) if union else F.concat(F.filter(old, lambda x: ~F.array_contains(ids, x["appid"])), new)
+    return published.join(more, F.col("appid") == F.col("__base"), "left").withColumn("dlc", F.array_sort(both)).drop("__base", "__more")
+
+
+def apply_incremental(published: DataFrame, trusted: DataFrame, run_date: date, union: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The day's games by the three steps and the day's children attached; and the conflicts."""
+    games, children = incremental(trusted, run_date)
+    table, conflicts = upsert_three_step(published, games, "appid", ["name", "type"], ["dlc"])
+    return attach_children(table, children, union), conflicts
+
+
 def incremental(trusted: DataFrame, run_date: date) -> tuple[DataFrame, DataFrame]:
     """The day's games and the day's children as (base_appid, dlc_doc), the latest of each."""
     rows = load_candidates(trusted, run_date)
@@ -77,3 +141,17 @@ def rank_titles(items: DataFrame, name: str, refs: str, listed: str, votes: str,
     """items with rn, their rank within the normalised title."""
     w = Window.partitionBy(normalize_title(F.col(name))).orderBy(F.desc((F.col(refs) > 0).cast("int")), F.desc(listed), F.desc(refs), F.desc(votes), F.desc(key))
     return items.withColumn("rn", F.row_number().over(w))
+
+
+#: Published news in their order, with their types.
+NEWS = "gid string, title string, contents string, date string, appid int, updated_at string"
+
+
+def publish_news(spark: SparkSession, trusted: str, published: str, run_date: date) -> None:
+    """Appends news whose gid the published table lacks: all trusted ones if nothing is published yet, else those of the day, of
+    whose partition alone the files are read. Of several rows with one gid the latest counts. A second run appends nothing."""
+    first = not table_exists(spark, published)
+    rows = read_days(spark, trusted, NEWS, "updated_at", None if first else run_date)
+    old = read_days(spark, published, NEWS, "updated_at").select("gid")
+    new = insert_only_new(rows.where("gid IS NOT NULL"), old, ["gid"], [F.desc("updated_at"), F.desc("date"), F.desc("contents"), F.desc("title")])
+    append_days(new.select(*[c.split()[0] for c in NEWS.split(", ")]), published, "updated_at")

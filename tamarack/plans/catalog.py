@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -20,8 +21,8 @@ RANKED = f"""SELECT p.*, {NNAME} AS nname, coalesce(r.refs, 0) AS refs,
 
 
 def ranked_parts(spark, d):
-    refs = t(spark, d, "lineitem").groupBy("l_partkey").agg(F.countDistinct("l_orderkey").alias("refs"))
-    parts = t(spark, d, "part").join(refs, F.col("p_partkey") == F.col("l_partkey"), "left").withColumns({"refs": F.coalesce("refs", F.lit(0)), "listed": (F.col("p_size") > 25).cast("int"), "votes": F.col("p_size").cast("long")})
+    parts = K.count_children(t(spark, d, "part"), t(spark, d, "lineitem"), "p_partkey", "l_partkey", "refs", distinct="l_orderkey")
+    parts = parts.withColumns({"listed": (F.col("p_size") > 25).cast("int"), "votes": F.col("p_size").cast("long")})
     return P.rank_titles(parts, "p_name", "refs", "listed", "votes", "p_partkey").withColumn("nname", T.normalize_title(F.col("p_name")))
 
 
@@ -51,8 +52,7 @@ def nest_children(spark, d):
 
 @query("SELECT c_custkey, coalesce(n, 0) AS n_orders FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON c_custkey = o_custkey")
 def child_count_default_zero(spark, d):
-    n = t(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count(F.lit(1)).alias("n_orders"))
-    return t(spark, d, "customer").select("c_custkey").join(n, "c_custkey", "left").fillna(0, ["n_orders"])
+    return K.count_children(t(spark, d, "customer").select("c_custkey"), t(spark, d, "orders"), "c_custkey", "o_custkey", "n_orders")
 
 
 @query("SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)")
@@ -74,26 +74,24 @@ def dedup_keep_first_ranked_source(spark, d):
 
 @query("SELECT min(doc_id) AS doc_id, md5(text) AS text_md5, count(*) AS copies FROM documents GROUP BY text")
 def dedup_full_text(spark, d):
-    return t(spark, d, "documents").groupBy(F.md5("text").alias("text_md5")).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    return K.distinct_texts(t(spark, d, "documents"), "text", "doc_id")
 
 
 @query("SELECT event_id, user_id, event_type, '2024-01-15' AS updated_at FROM events WHERE ts::DATE = DATE '2024-01-15'")
 def incremental_day(spark, d):
-    day = (F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")) & (F.col("ts") < F.lit("2024-01-16").cast("timestamp_ntz"))
-    return t(spark, d, "events").where(day).select("event_id", "user_id", "event_type", F.lit("2024-01-15").alias("updated_at"))
+    day = date(2024, 1, 15)
+    return t(spark, d, "events").where(K.of_day(F.col("ts"), day)).select("event_id", "user_id", "event_type", F.lit(day.isoformat()).alias("updated_at"))
 
 
 @query("""SELECT e.event_id, e.user_id FROM events e JOIN (SELECT user_id, max(ts) AS hwm FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1) h ON e.user_id = h.user_id WHERE e.ts > h.hwm""")
 def high_water_mark(spark, d):
     e = t(spark, d, "events")
-    mark = e.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")).groupBy("user_id").agg(F.max("ts").alias("hwm"))
-    return e.join(mark, "user_id").where("ts > hwm").select("event_id", "user_id")
+    return K.above_mark(e, e.where(F.col("ts") < F.lit("2024-01-20").cast("timestamp_ntz")), ["user_id"], "ts").select("event_id", "user_id")
 
 
 @query("SELECT c_custkey, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders) THEN 1000 ELSE 9999 END::BIGINT AS item_limit FROM customer")
 def limit_rule_by_history(spark, d):
-    seen = K.keys_of(t(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey")), ["c_custkey"]).withColumn("has", F.lit(True))
-    return t(spark, d, "customer").select("c_custkey").join(seen, "c_custkey", "left").select("c_custkey", F.when(F.col("has"), 1000).otherwise(9999).cast("long").alias("item_limit"))
+    return K.limit_by_history(t(spark, d, "customer"), t(spark, d, "orders").withColumnRenamed("o_custkey", "c_custkey"), "c_custkey", 1000, 9999, "item_limit")
 
 
 @query("SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'")
@@ -103,7 +101,7 @@ def set_difference_keys(spark, d):
 
 @query("SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase') AND props IS NOT NULL AND props <> ''")
 def key_type_filter(spark, d):
-    return t(spark, d, "events").where(F.col("event_type").isin("click", "purchase") & F.col("props").isNotNull() & (F.col("props") != "")).select("event_id", "event_type")
+    return t(spark, d, "events").where(K.usable("event_type", "click", "purchase") & K.usable("props")).select("event_id", "event_type")
 
 
 @query("SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS transcription FROM conversations GROUP BY 1")
@@ -204,13 +202,12 @@ def exclude_keyword_pages(spark, d):
 @query("SELECT event_id, coalesce(x, -1)::BIGINT AS players FROM (SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE event_id % 1000 END AS x FROM events)")
 def poll_batch_sentinel(spark, d):
     polled = F.when(F.col("event_type") != "error", F.col("event_id") % 1000)
-    return t(spark, d, "events").select("event_id", F.coalesce(polled, F.lit(-1)).cast("long").alias("players"))
+    return t(spark, d, "events").select("event_id", V.polled_players(polled).alias("players"))
 
 
 @query("SELECT user_id, strftime(ts, '%Y-%m') AS month, round(avg(value), 2) AS avg_players, round(max(value), 2) AS peak_players, count(*) AS polls FROM events GROUP BY 1, 2")
 def monthly_players(spark, d):
-    e = t(spark, d, "events").groupBy("user_id", F.date_format("ts", "yyyy-MM").alias("month"))
-    return e.agg(F.round(F.avg("value"), 2).alias("avg_players"), F.round(F.max("value"), 2).alias("peak_players"), F.count(F.lit(1)).alias("polls"))
+    return L.polls_by_month(t(spark, d, "events"), "user_id", "ts", "value")
 
 
 @query("""WITH v AS (SELECT list_sort(list_distinct(flatten(list(string_split(p_type, ' '))))) AS v FROM part)
@@ -254,23 +251,6 @@ def silhouette_sweep(spark, d):
     return spark.createDataFrame([(k, s, k == best) for k, s in scores], "k int, silhouette_score double, best boolean")
 
 
-def halves(spark, d):
-    c = t(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_acctbal")
-    old = c.where("c_custkey % 3 <> 0").withColumn("kept", F.lit("old"))
-    new = c.where("c_custkey % 2 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)
-    return old, new.withColumn("c_custkey", F.when(F.col("c_custkey") % 10 == 0, F.col("c_custkey") + 10_000_000).otherwise(F.col("c_custkey")))
-
-
-@query("""WITH old AS (SELECT *, 'old' AS kept FROM customer WHERE c_custkey % 3 <> 0),
-  new AS (SELECT CASE WHEN c_custkey % 10 = 0 THEN c_custkey + 10000000 ELSE c_custkey END AS k, c_name AS n, c_nationkey AS a, c_acctbal + 1 AS b FROM customer WHERE c_custkey % 2 = 0)
-  SELECT coalesce(x.k, y.k, o.c_custkey) AS c_custkey, coalesce(x.n, y.n, o.c_name) AS c_name, coalesce(x.a, y.a, o.c_nationkey) AS c_nationkey, round(coalesce(x.b, y.b, o.c_acctbal), 2) AS c_acctbal, kept
-  FROM old o LEFT JOIN new x ON x.k = o.c_custkey LEFT JOIN new y ON x.k IS NULL AND y.n = o.c_name AND y.a = o.c_nationkey AND y.k NOT IN (SELECT c_custkey FROM old)
-  UNION ALL SELECT k, n, a, round(b, 2), NULL FROM new WHERE k NOT IN (SELECT c_custkey FROM old) AND NOT EXISTS (SELECT 1 FROM old WHERE c_name = n AND c_nationkey = a)""")
-def upsert_three_step(spark, d):
-    old, new = halves(spark, d)
-    return K.upsert_three_step(old, new, "c_custkey", ["c_name", "c_nationkey"], ["kept"])[0].withColumn("c_acctbal", F.round("c_acctbal", 2))
-
-
 @query("""WITH o AS (SELECT o_orderkey, l FROM orders LEFT JOIN (SELECT l_orderkey, list(DISTINCT l_linenumber) AS l FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1) ON l_orderkey = o_orderkey),
   m AS (SELECT l_orderkey, list(DISTINCT l_linenumber) AS m FROM lineitem WHERE l_linenumber >= 2 GROUP BY 1)
   SELECT o_orderkey, array_to_string(list_sort(list_distinct(list_concat(coalesce(l, []), coalesce(m, [])))), ',') AS lines FROM o LEFT JOIN m ON l_orderkey = o_orderkey""")
@@ -283,22 +263,21 @@ def attach_children_set(spark, d):
     return out.select("o_orderkey", F.array_join(F.transform(F.array_sort("line"), lambda x: x.cast("string")), ",").alias("lines"))
 
 
-@query("""SELECT coalesce(d.doc_id, c.conv_id) AS doc_id, d.source, c.transcription FROM (SELECT doc_id, source FROM documents WHERE doc_id % 2 = 0) d
+@query("""SELECT coalesce(d.doc_id, c.conv_id) AS doc_id, d.source, c.transcription FROM (SELECT doc_id, source FROM documents) d
   FULL JOIN (SELECT conv_id, string_agg(text, ' ' ORDER BY turn, text) AS transcription FROM conversations GROUP BY 1) c ON d.doc_id = c.conv_id""")
 def merge_transcripts(spark, d):
-    old = t(spark, d, "documents").where("doc_id % 2 = 0").select("doc_id", "source", F.lit(None).cast("string").alias("transcription"))
+    old = t(spark, d, "documents").select("doc_id", "source", F.lit(None).cast("string").alias("transcription"))
     return K.set_field(old, assemble_text(spark, d).withColumnRenamed("conv_id", "doc_id"), "doc_id", "transcription")
 
 
 @query("SELECT o_custkey, max(o_orderdate) AS latest, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey FROM orders GROUP BY 1")
 def latest_row_lookup(spark, d):
-    return t(spark, d, "orders").groupBy("o_custkey").agg(F.max("o_orderdate").alias("latest"), F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey")).alias("o_orderkey"))
+    return K.latest(t(spark, d, "orders"), ["o_custkey"], "o_orderdate", ["o_orderkey"]).withColumnRenamed("o_orderdate", "latest")
 
 
 @query("SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) <= 20")
 def items_per_key_limit(spark, d):
-    rank = F.row_number().over(Window.partitionBy("user_id").orderBy(F.desc("ts"), F.desc("event_id")))
-    return t(spark, d, "events").withColumn("rn", rank).where("rn <= 20").select("user_id", "event_id")
+    return K.keep_first(t(spark, d, "events"), ["user_id"], [F.desc("ts"), F.desc("event_id")], 20).select("user_id", "event_id")
 
 
 @query("SELECT event_id, user_id, event_type FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'error' AND ts < TIMESTAMP '2024-01-02')")
@@ -318,4 +297,4 @@ def chart_numbers(spark, d):
 def union_by_name(spark, d):
     a = t(spark, d, "embeddings").groupBy(F.concat(F.lit("label"), F.col("label")).alias("label_name")).agg(F.count(F.lit(1)).alias("n"))
     b = t(spark, d, "documents").groupBy(F.concat(F.lit("lang"), F.col("lang")).alias("label_name")).agg(F.count(F.lit(1)).alias("n"))
-    return a.unionByName(b)
+    return K.union_all([a, b])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from datetime import date
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -24,6 +24,30 @@ DETAILS = (
 TEXTS = ("name", "detailed_description", "about_the_game", "short_description", "supported_languages", "legal_notice")
 
 
+def unwrap(raw: DataFrame, key: str, body: str) -> DataFrame:
+    """raw answers {"<id>": {"success": ..., "data": {...}}} as (key, details, fetch_error): the data as JSON text where the answer
+    says success, null where it says no, and fetch_error where there is no answer to read for the id - those are asked for again,
+    the others aren't."""
+    answer = F.from_json(body, "map<string,struct<success:boolean,data:string>>")[F.col(key).cast("string")]
+    return raw.select(key, F.when(answer["success"], answer["data"]).alias("details"), answer["success"].isNull().alias("fetch_error"))
+
+
+def to_fetch(wanted: DataFrame, landed: DataFrame, key: str) -> DataFrame:
+    """The keys that weren't answered yet: those that never landed or landed with an error only."""
+    return wanted.select(key).distinct().join(landed.where("NOT fetch_error").select(key), key, "left_anti")
+
+
+def until_mark(pages: DataFrame, marks: DataFrame, key: str, page: str, items: str, time: str) -> DataFrame:
+    """The items (structs in the array column items) of pages in their order that are later than the key's mark, with key and
+    page. Reading ends behind the first page that has an item at or before the mark, as a source in order of time would be read;
+    no mark reads all pages. The running minimum of the pages' earliest times says so without a loop."""
+    w = Window.partitionBy(key).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)
+    least = F.array_min(F.transform(items, lambda x: x[time]))
+    rows = pages.withColumn("__before", F.min(least).over(w)).join(marks.select(key, F.col("mark").alias("__mark")), key, "left")
+    rows = rows.where("__mark IS NULL OR __before IS NULL OR __before > __mark").select(key, page, "__mark", F.explode(items).alias("__item"))
+    return rows.where(F.col("__mark").isNull() | (F.col(f"__item.{time}") > F.col("__mark"))).select(key, page, "__item.*")
+
+
 def games(raw: DataFrame, run_date: date, clean=T.clean_text, dates: bool = True) -> DataFrame:
     """raw (appid, details as JSON text) to trusted rows; details that are null give a row of blanks, which keeps the id from
     being asked for again. dates=False leaves release dates as they came."""
@@ -97,6 +121,11 @@ def monthly_players(cells: DataFrame, percent=V.chart_percent) -> DataFrame:
     return keep_one(rows, ["appid", "month"], [F.desc("position")]).drop("position")
 
 
+def polls_by_month(polls: DataFrame, key: str, time: str, value: str) -> DataFrame:
+    """Average and peak of the polled values of each key and month, and how many polls there were."""
+    return polls.groupBy(key, F.date_format(time, "yyyy-MM").alias("month")).agg(F.round(F.avg(value), 2).alias("avg_players"), F.round(F.max(value), 2).alias("peak_players"), F.count(F.lit(1)).alias("polls"))
+
+
 def table_cells(html: Column, css_class: str) -> Column:
     """Cells of each row but the first of the table of this class, as array<array<string>>."""
     @F.arrow_udf("array<array<string>>")
