@@ -11,8 +11,9 @@ next to each other are removed as a run if the run has MIN_RUN bytes at least: s
 
 Copies are found by an aggregate per digest, so a chunk that a third of all documents share is one row per task before it is
 shuffled; the chunks are written once, in the shared folder, and read for that aggregate and for the join with its result. Defined results: a null text stays null and an empty one empty; texts of any length are cut whole; rows without
-doc_id are left as they are and remove nothing elsewhere; rows that repeat a doc_id are one document that stands several
-times (what repeats only between them stays); a removed run that ends inside a character takes the whole character; an empty
+doc_id are left as they are and remove nothing elsewhere; rows that repeat a doc_id and a text are one document that stands
+several times (what repeats only between them stays), rows that repeat a doc_id with another text are documents of their own, in
+order of the text's hash; ids may be of any type with an order; a removed run that ends inside a character takes the whole character; an empty
 table returns no rows; other columns pass through.
 """
 
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, numbered, table
 
 MIN, MAX, MIN_RUN = 16, 192, 40
 #: Four mask bits: a candidate every 16 bytes on average. Bits 28 to 31 look at the last 32 bytes at most.
@@ -158,22 +159,23 @@ def without_runs(data: bytes, runs: list[dict]) -> bytes:
 
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_run: int = MIN_RUN) -> DataFrame:
     """docs with the repeated runs taken out of the text."""
-    runs = repeated_runs(docs, id_col, text_col, min_run).select(F.col("id").alias("__id"), F.col("runs").alias("__runs"))
+    rows = numbered(docs, id_col, text_col, "chunks")
+    runs = repeated_runs(rows, "__doc", text_col, min_run).select(F.col("id").alias("__id"), F.col("runs").alias("__runs"))
 
     @F.arrow_udf("string")
     def cut(texts: pa.Array, gone: pa.Array) -> pa.Array:
         pairs = zip(texts.to_pylist(), gone.to_pylist(), strict=True)
         return pa.array([t if t is None or not g else without_runs(t.encode(), g).decode() for t, g in pairs], pa.string())
 
-    rows = docs.join(runs, F.col(id_col).cast("bigint") == F.col("__id"), "left")
+    rows = rows.join(runs, F.col("__doc") == F.col("__id"), "left")
     return rows.withColumn(text_col, cut(F.col(text_col), F.col("__runs"))).select(*docs.columns)
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and the spans (start:size, in bytes) for each document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    runs = repeated_runs(docs).select(F.col("id").alias("__id"), F.col("runs").alias("__runs"))
-    rows = docs.join(runs, F.col("doc_id") == F.col("__id"), "left")
+    docs = numbered(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id", "text", "chunks")
+    runs = repeated_runs(docs, "__doc").select(F.col("id").alias("__id"), F.col("runs").alias("__runs"))
+    rows = docs.join(runs, F.col("__doc") == F.col("__id"), "left")
 
     @F.arrow_udf("n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, spans string")
     def report(texts: pa.Array, gone: pa.Array) -> pa.Array:

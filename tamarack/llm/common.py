@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Most rows that one comparison cell of a bucket takes; larger buckets are dealt to several cells.
 CELL_ROWS = 2048
@@ -61,6 +62,24 @@ def materialize(df: DataFrame, tag: str, columns: list[str] | None = None) -> Da
     return out.select(*columns) if columns else out
 
 
+def numbered(docs: DataFrame, id_col: str, text_col: str, tag: str) -> DataFrame:
+    """docs with __doc: a whole number in order of (id, text), one for each distinct pair, null for a null id. It's the id itself
+    where ids are whole numbers and none stands with two texts, which is found by hashes alone. Otherwise the distinct pairs (by
+    128 bits of the text) are sorted and numbered once, written and joined, so that rows that share an id but not a text are
+    documents of their own and ids may be of any type that can be ordered."""
+    id_type = docs.schema[id_col].dataType
+    hashes = [F.xxhash64(text_col), F.xxhash64(F.lit(7), text_col)]
+    own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("__i"), hashes[0].alias("__a"), hashes[1].alias("__b"))
+    if isinstance(id_type, T.IntegralType):
+        ends = own.groupBy("__i").agg(*[f(c).alias(f"{c}{n}") for c in ("__a", "__b") for n, f in enumerate((F.min, F.max))])
+        if ends.where("__a0 <> __a1 OR __b0 <> __b1").isEmpty():
+            return docs.withColumn("__doc", F.col(id_col).cast("bigint"))
+    order = ["__i", "__a", "__b"]
+    pairs = own.distinct().repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__doc", F.monotonically_increasing_id())
+    pairs = materialize(pairs, f"{tag}-numbers")
+    return docs.join(small(pairs), (F.col(id_col) == F.col("__i")) & (hashes[0] == F.col("__a")) & (hashes[1] == F.col("__b")), "left").drop(*order)
+
+
 def grouped_batches(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Re-cuts the batches of a partition sorted by keys so that no group is cut in two. Groups must be of bounded size."""
     kept: list[pa.RecordBatch] = []

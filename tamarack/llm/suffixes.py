@@ -19,7 +19,8 @@ let through wrongly never changes a result: equal contexts are joined exactly, a
 is alone or is a later copy, which goes anyway.
 
 Defined results: a null text is empty; texts under LENGTH bytes lose nothing; rows without doc_id lose nothing and take
-nothing from others; rows that repeat a doc_id are one document that stands several times; an empty table returns no rows;
+nothing from others; rows that repeat a doc_id and a text are one document that stands several times, rows that repeat a
+doc_id with another text are documents of their own, in order of the text's hash; ids may be of any type with an order; an empty table returns no rows;
 other columns are ignored.
 """
 
@@ -34,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import group_numbers, grouped_batches, materialize, small, table
+from .common import group_numbers, grouped_batches, materialize, numbered, small, table
 
 LENGTH, GRAM = 100, 32
 SHALLOW, CELL = 4, 2048
@@ -390,8 +391,8 @@ def _result(text: Column, spans: Column, with_text: bool) -> Column:
 
 def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = True) -> DataFrame:
     """id and the RESULT columns for each row; kept (the remaining bytes) only with with_text."""
-    spans = removed_spans(docs, id_col, text_col)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(spans, F.col("id").cast("bigint") == F.col("doc"), "left")
+    docs = numbered(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", "text", "suffixes")
+    rows = docs.join(removed_spans(docs, "__doc", "text"), F.col("__doc") == F.col("doc"), "left")
     return rows.select("id", _result(F.col("text"), F.col("spans"), with_text).alias("r")).select("id", "r.*")
 
 

@@ -31,3 +31,15 @@ def none(edge):
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").toPandas()
+
+
+@pytest.fixture(scope="session")
+def shared_ids(spark):
+    """Rows that share ids: a copy, an equal row, one with a text of its own, and one that ends like another document."""
+    import random
+
+    rng = random.Random(9)
+    words = lambda n: " ".join("".join(rng.choices("abcdefghij", k=7)) for _ in range(n))
+    a, b, c = words(60), words(60), words(40)
+    rows = [(1, a), (2, a), (2, a), (2, b), (3, c + "\n" + b), (3, c), (4, None), (4, ""), (4, words(50)), (None, a), (None, words(9))]
+    return a, b, c, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)

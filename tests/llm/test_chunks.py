@@ -73,3 +73,13 @@ def test_edge_cases(spark, edge, none):
     text = {r["doc_id"]: r["text"] for r in out.collect()}
     assert text[2] is None and text[3] == "" and text[4] == " \t\n " and text[1] == "alpha beta gamma delta" and len(text[7]) < 1100
     assert chunks.without_runs("aéz".encode(), [{"start": 0, "size": 2}]) == b"z"
+
+
+def test_rows_that_share_an_id_keep_what_is_theirs(spark, shared_ids):
+    a, b, c, df = shared_ids
+    for docs in (df, df.selectExpr("'k' || doc_id AS doc_id", "text")):
+        rows = sorted((str(r["doc_id"])[-1], r["text"]) for r in chunks.dedup_substrings(docs).collect() if r["text"] is not None)
+        own = [t for k, t in rows if k == "2"]
+        assert b in own and [t for k, t in rows if k == "1"] == [a]  # the text that stands under another one's id stays
+        assert sorted(len(t) for k, t in rows if k == "4") == [0, 399]
+        assert sum(t.count(c) for _, t in rows) >= 1 and docs.count() == len(rows) + 1
