@@ -95,7 +95,8 @@ def refresh_titles(published: DataFrame, trusted: DataFrame, since: str, until:
     own = games.join(touched, "__title", "left_semi").select("appid").distinct()
     part = games.drop("__title").join(own, "appid", "left_semi")
     theirs = children.join(own.withColumnRenamed("appid", "fullgame_appid"), "fullgame_appid", "left_semi").select("appid").distinct()
-    part = part.unionByName(children.join(theirs, "appid", "left_semi").select(*part.columns))
+    every = rows.where("type = 'dlc'")  # a child's last version may name no game
+    part = part.unionByName(every.join(theirs, "appid", "left_semi").select(*part.columns))
     anew = full_refresh(current(part), repoint).withColumn("__title", normalize_title(F.col("name")))
     anew = anew.join(touched, "__title", "left_semi").drop("__title")  # titles that a touched game moved from or to are all touched
     kept = published.withColumn("__title", normalize_title(F.col("name"))).join(touched, "__title", "left_anti").drop("__title")
