@@ -28,9 +28,9 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import Memory, slices, table
+from .common import Memory, slices, table, take_turn
 
-CACHE = 400_000
+CACHE = 200_000
 #: \s as Unicode's White_Space, which the pattern means.
 _MARKS = frozenset(".,;:!?")
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -95,7 +95,8 @@ class Coder:
         for t, r in ranks.items():
             if len(t) == 2:
                 self.pair_rank[t[0] << 8 | t[1]] = r
-        self.of_chunk, self.of_token = Memory(cache_size), Memory(cache_size)
+        # chunks and pre-tokens in one: a pre-token alone is cut as one pre-token, so either way a string has the same ids
+        self.known = Memory(cache_size)
 
     def merge(self, tokens: list[bytes]) -> list[bytes]:
         """The ids of each pre-token, as little-endian unsigned 32-bit numbers."""
@@ -161,17 +162,19 @@ class Coder:
             out.append(pack(f"<{len(ids)}I", *ids))
         return out
 
-    def learn(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of each chunk; pre-tokens that aren't remembered are merged in one buffer."""
-        ranks, known = self.ranks, self.of_token
+    def learn(self, chunks: list[str]) -> set[str]:
+        """Remembers the ids of each chunk and of its pre-tokens; those that aren't known are merged in one buffer. Returns all
+        strings that are new in the memory."""
+        ranks, known = self.ranks, self.known
         # a space and letters are one pre-token; a mark after them is another
         cut = [[c] if (w := c[1:]).isalpha() and c[0] == " " else [c[:-1], c[-1]] if w[-1:] in _MARKS and w[:-1].isalpha() and c[0] == " " else self.cut(c) for c in chunks]
-        new = {p: p.encode() for p in known.missing({p for parts in cut for p in parts})}
+        new = {p: p.encode() for p in known.missing({p for parts in cut for p in parts}, turn=False)}
         rest = [p for p, b in new.items() if b not in ranks]
         known.add({p: ranks[b].to_bytes(4, "little") for p, b in new.items() if b in ranks})
         known.add(dict(zip(rest, self.merge([new[p] for p in rest]), strict=True)))
         get = known.young.__getitem__
-        return {c: b"".join(map(get, parts)) for c, parts in zip(chunks, cut, strict=True)}
+        known.add({c: b"".join(map(get, parts)) for c, parts in zip(chunks, cut, strict=True) if len(parts) != 1})
+        return {*chunks, *new}
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """For each text its ids, as little-endian unsigned 32-bit numbers."""
@@ -180,10 +183,15 @@ class Coder:
             parts = self.spaced(t) if t and self.odd(t) else (t or "").split(" ")
             # the first chunk has no space before it; a text that starts with one has an empty first part
             split.append([parts[0], *[" " + p for p in parts[1:]]])
-        known = self.of_chunk
-        known.add(self.learn(known.missing({c for s in split for c in s})))
+        known = self.known
+        new = self.learn(known.missing({c for s in split for c in s}))
         get = known.young.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        out = [b"".join(map(get, s)) for s in split]
+        known.thin(new)
+        return out
+
+    def forget(self) -> None:
+        self.known = Memory(self.known.size)
 
     def encode(self, text: str) -> list[int]:
         return np.frombuffer(self.encode_batch([text])[0], "<u4").tolist()
@@ -210,12 +218,18 @@ def _public(path: str | None, pattern: str | None) -> tuple[str, str]:
     return path or public_tokenizers.path("byte_bpe_50k.tiktoken"), pattern or public_tokenizers.PATTERN
 
 
+def _coder(path: str | None, pattern: str | None) -> Coder:
+    c = coder(*_public(path, pattern))
+    take_turn("bpe", c.forget)
+    return c
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, pattern: str | None = None) -> DataFrame:
     """id, n_tokens, ids (binary: little-endian unsigned 32-bit numbers) for each row. path is a rank file that every
     worker can open, such as one that an installed package has."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c = coder(*_public(path, pattern))
+        c = _coder(path, pattern)
         for b in batches:
             at = 0
             for part in slices(b.column(1)):
@@ -232,7 +246,7 @@ def decode(encoded: DataFrame, path: str | None = None, pattern: str | None = No
 
     @F.arrow_udf("binary")
     def run(ids: pa.Array) -> pa.Array:
-        c = coder(*_public(path, pattern))
+        c = _coder(path, pattern)
         return pa.array([c.decode(x.as_py()) for x in ids], pa.binary())
 
     return encoded.withColumn("decoded", run("ids"))
@@ -242,7 +256,7 @@ def round_trip(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """id, n_tokens and the SHA-256 of the ids and of the decoded bytes, one pass, nothing wide leaving the worker."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        c, sha = coder(*_public(path, pattern)), lambda x: hashlib.sha256(x).hexdigest()
+        c, sha = _coder(path, pattern), lambda x: hashlib.sha256(x).hexdigest()
         for b in batches:
             ids = (x for part in slices(b.column(1)) for x in c.encode_batch(part))
             rows = [(len(x) // 4, sha(x), sha(c.decode(x))) for x in ids]

@@ -232,10 +232,15 @@ def components(edges: DataFrame, tag: str = "components") -> DataFrame:
 
 class Memory:
     """A bounded dictionary of two generations: what a slice needs is young; once the young exceed the size, they become
-    the old and the old are forgotten."""
+    the old and the old are forgotten. thin() lets go of what came up for the first time, as most strings that are new in a
+    slice never come again."""
+
+    #: Flags of what came up before, by hash; cleared once a quarter of them is set.
+    FLAGS = 1 << 22
 
     def __init__(self, size: int):
         self.size, self.young, self.old = size, {}, {}
+        self.flags, self.set = bytearray(self.FLAGS), 0
 
     def missing(self, keys: Iterable[str], turn: bool = True) -> list[str]:
         """Makes the known of these keys young; returns the others. turn: the young may become the old before that."""
@@ -254,6 +259,29 @@ class Memory:
     def add(self, found: dict[str, bytes]) -> None:
         self.young.update(found)
 
+    def thin(self, keys: Iterable[str]) -> None:
+        """Of these young keys only those stay that were given here before."""
+        if self.set > self.FLAGS // 4:
+            self.flags, self.set = bytearray(self.FLAGS), 0
+        flags, young, mask = self.flags, self.young, self.FLAGS - 1
+        for k in keys:
+            if not flags[h := hash(k) & mask]:
+                flags[h] = 1
+                self.set += 1
+                young.pop(k, None)
+
+
+_turn: dict[str, Callable[[], None]] = {}
+
+
+def take_turn(name: str, forget: Callable[[], None] | None = None) -> None:
+    """Worker processes outlive tasks. What an operator remembers between its tasks is forgotten once another operator takes
+    its turn in the process."""
+    for other in [x for x in _turn if x != name]:
+        _turn.pop(other)()
+    if forget:
+        _turn[name] = forget
+
 
 #: Characters that are encoded at a time, so that memory doesn't grow with a batch.
 SLICE_CHARS = 2_000_000

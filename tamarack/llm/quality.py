@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, table
+from .common import materialize, table, take_turn
 
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS = b"#*$%&|<>"
@@ -72,6 +72,7 @@ def measure(text: bytes | None) -> tuple[int, int, int, int, int, int]:
 def features_of(text: Column) -> Column:
     @F.arrow_udf(FEATURES)
     def run(texts: pa.Array) -> pa.Array:
+        take_turn("quality")
         rows = np.array([measure(t.as_py()) for t in texts], np.int64).reshape(-1, 6)
         return pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], [x.split()[0] for x in FEATURES.split(", ")])
 

@@ -58,3 +58,20 @@ def test_edge_cases(edge, none):
     assert len(rows) == edge.count() and not bpe.encode(none).count() and not bpe.round_trip(none).count()
     text = {(r["doc_id"], (r["text"] or "").encode()) for r in edge.collect()}
     assert {(r["id"], bytes(r["decoded"])) for r in rows} == text
+
+
+def test_memory_lets_first_comers_go():
+    from tamarack.llm.common import Memory, take_turn
+
+    m = Memory(10)
+    for want in (False, True):  # a string stays from the second time on
+        new = m.missing(["a", "b"])
+        m.add({k: k.encode() for k in new})
+        m.thin(new)
+        assert ("a" in m.young) is want
+    gone = []
+    take_turn("x", lambda: gone.append("x"))
+    take_turn("x", lambda: gone.append("x"))
+    take_turn("y")
+    take_turn("y")
+    assert gone == ["x"]
