@@ -12,7 +12,19 @@ from pyspark.sql.types import StringType
 MIN_LEN_TO_DETECT = 50
 
 #: Display names whose chart pages go by another name. Results depend on them, so they are a parameter.
-NAME_OVERRIDES: dict[str, str] = {}
+NAME_OVERRIDES: dict[str, str] = {
+    "ULTRATORO 2 Demo": "ultratoro",
+    "King of Kinks Wallpaper": "king-of-kinks",
+    "忍堕とし": "nin-datoshi",
+    "Sailist Demo": "sailist",
+    "Naheulbeuk's Dungeon Master Demo": "naheulbeuks-dungeon-master",
+    "Twist & Turn": "twist-and-turn",
+    "ONE PIECE: PIRATE WARRIORS 4 Character Pass 2": "one-piece-pirate-warriors-4",
+    "Dead City: Sci-Fi Pack": "dead-city",
+    "Pine Hearts Demo": "pine-hearts",
+    "Tenders fight Demo": "tenders-fight",
+    "Probo Rush Demo": "probo-rush",
+}
 
 
 def strip_markup(text: Column) -> Column:

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.sinks import read_version, write_version
-from .vectors import MAX_K, MIN_K, SEED, best_k
+from .vectors import MAX_K, MIN_K, SEED, best_k, vocabulary
 
-#: Buckets of words; the largest vocabulary of labels that becomes a vector of its own.
-BUCKETS, MOST_LABELS = 1 << 12, 1 << 18
+#: Buckets of words.
+BUCKETS = 1 << 12
 #: What parts words: all but letters and digits.
 GAPS = "[^\\p{L}\\p{N}]+"
 
@@ -32,12 +32,8 @@ def combined(texts: list[str], labels: list[str], age: str) -> SQLTransformer:
 
 
 def label_vocabulary(df: DataFrame, column: str) -> list[str]:
-    """The distinct labels in order. They become the width of a vector, so more than MOST_LABELS raise ValueError."""
-    distinct = df.select(F.explode(column).alias("label")).where("label IS NOT NULL").distinct()
-    found = [r["label"] for r in distinct.limit(MOST_LABELS + 1).collect()]
-    if len(found) > MOST_LABELS:
-        raise ValueError(f"{column} has more than {MOST_LABELS} labels")
-    return sorted(found)
+    """The distinct labels in order, as many as a vocabulary may have."""
+    return [r["label"] for r in vocabulary(df, column).orderBy("position").collect()]
 
 
 def feature_pipeline(df: DataFrame, texts: list[str], labels: list[str], age: str, buckets: int = BUCKETS) -> PipelineModel:

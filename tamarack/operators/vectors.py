@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,14 +24,25 @@ PASS_QUERIES, BLOCK_ROWS, BLOCK_QUERIES = 100_000, 1024, 1024
 DIGITS = 6
 
 
+#: The largest vocabulary that becomes a vector of its own.
+MOST_LABELS = 1 << 18
+
+
 def vocabulary(df: DataFrame, labels: str) -> DataFrame:
-    """label, position (from 0) of each distinct label in order."""
-    return df.select(F.explode(labels).alias("label")).distinct().agg(F.array_sort(F.collect_set("label")).alias("v")).select(F.posexplode("v").alias("position", "label")).select("label", "position")
+    """label, position (from 0) of each distinct label in order. Labels are made distinct before they meet; more than MOST_LABELS
+    raise ValueError, as every row would get a vector of that length."""
+    distinct = df.select(F.explode(labels).alias("label")).where("label IS NOT NULL").distinct()
+    if (n := distinct.limit(MOST_LABELS + 1).count()) > MOST_LABELS:
+        raise ValueError(f"{labels} has more than {MOST_LABELS} labels, {n} at least")
+    return distinct.agg(F.array_sort(F.collect_list("label")).alias("v")).select(F.posexplode("v").alias("position", "label")).select("label", "position")
 
 
 def multi_hot(labels: Column, vocab: list[str]) -> Column:
-    """0/1 for each label of the vocabulary; labels outside it are ignored."""
-    return F.array(*[F.coalesce(F.array_contains(labels, v), F.lit(False)).cast("int") for v in vocab]) if vocab else F.array().cast("array<int>")
+    """0/1 for each label of the vocabulary, which is one constant of the plan; labels outside it are ignored."""
+    if not vocab:
+        return F.array().cast("array<int>")
+    names = F.from_json(F.lit(json.dumps(vocab)), "array<string>")
+    return F.transform(names, lambda v: F.coalesce(F.array_contains(labels, v), F.lit(False)).cast("int"))
 
 
 def inner_product(a: Column, b: Column) -> Column:

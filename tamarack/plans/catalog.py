@@ -138,7 +138,9 @@ def strip_markup(spark, d):
     return t(spark, d, "pages").select("page_id", F.md5(T.squeeze(T.strip_markup(F.expr(MARKED)))).alias("clean_md5"))
 
 
-@query()
+@query(f"""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
+  'https?://\\S+','','g'), '\\{{STEAM_[A-Z_]+\\}}/\\S*','','g'), '\\[\\*\\]','','g'), '\\[/\\*\\]','','g'), '\\[/?[a-zA-Z0-9]+(?:=[^\\]]+)?\\]','','g'), '<.*?>','','g'),
+  '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '[ \\t]+',' ','g'), '\\s*\\n\\s*', chr(10), 'g'), ' ' || chr(10) || chr(9)) AS text_clean FROM pages""")
 def clean_text_full(spark, d):
     return t(spark, d, "pages").select("page_id", T.clean_text(F.col("html")).alias("text_clean"))
 

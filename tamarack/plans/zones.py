@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ..operators import keyed as K
 from ..operators import publish as P
+from ..operators import translate as Z
 from ..sources import manifest as W
 from ..sources import sinks as S
 from ..sources.shared import fresh, settled
@@ -72,6 +73,31 @@ def landing_comments(spark, d):
     return L.comments(raw).select("videoId", "author", "text_clean", "publishedAt", "likeCount")
 
 
+CHARTED = "SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, floor(max(o_totalprice))::BIGINT AS peak FROM orders GROUP BY 1, 2"
+
+
+@query(f"SELECT o_custkey::INT AS appid, month, (n * 1000)::DOUBLE AS avg_players, n::DOUBLE AS gain_loss, n + 0.5::DOUBLE AS gain_loss_percent, CASE WHEN n <> 2 THEN peak::DOUBLE END AS peak_players FROM ({CHARTED})")
+def chart_tables(spark, d):
+    """Each customer's orders as the page of a chart: a table among others with a head, rows by month, one twice, one too short."""
+    month = F.date_format("o_orderdate", "MMMM yyyy")
+    o = t(spark, d, "orders").groupBy("o_custkey", month.alias("month")).agg(F.count(F.lit(1)).alias("n"), F.floor(F.max("o_totalprice")).alias("peak"))
+    peak = F.when(F.col("n") == 2, "no data").otherwise(F.col("peak").cast("string"))
+    row = F.format_string("<tr><td>%s</td><td>0</td><td>0</td><td>0</td><td>0</td></tr><tr class='x'><td> %s </td><td>%d.000</td><td><b>+%d</b></td><td>+%d.5%%</td><td>%s</td></tr>", "month", "month", "n", "n", "n", peak)
+    page = F.concat(F.lit("<html><table><tr><td>May 2020</td><td>1</td><td>1</td><td>1</td><td>1</td></tr></table><table class='a chart'><tr><th>Month</th></tr>"), F.array_join(F.collect_list(row), ""), F.lit("<tr><td>June 2021</td><td>1</td></tr><tr><td>Last 30 Days</td><td>1</td><td>1</td><td>1</td><td>1</td></tr></table></html>"))
+    cells = o.groupBy(F.col("o_custkey").cast("int").alias("appid")).agg(page.alias("html")).select("appid", F.posexplode(L.table_cells(F.col("html"), "chart")).alias("position", "cells"))
+    return L.monthly_players(cells)
+
+
+@query("SELECT doc_id, action, md5(CASE action WHEN 'empty' THEN '' WHEN 'keep_en' THEN text WHEN 'short' THEN text ELSE lang || '>' || text END) AS english_md5 FROM (SELECT *, CASE WHEN coalesce(length(text),0) = 0 THEN 'empty' WHEN length(text) < 50 THEN 'short' WHEN lang = 'en' THEN 'keep_en' ELSE 'translate' END AS action FROM documents)")
+def translate_documents(spark, d):
+    """A translator that has no answer for short texts; run twice, the second time with one that must not be asked for others."""
+    docs, cache = t(spark, d, "documents").select("doc_id", "lang", "text"), fresh(spark, "translations")
+    mark = lambda rows: rows.select("digest", F.when(F.length("text") >= 50, F.concat_ws(">", "lang", "text")).alias("translated"))
+    none = lambda rows: rows.select("digest", F.when(F.length("text") >= 50, F.lit("asked twice")).alias("translated"))
+    Z.translate_stage(docs, "text", "lang", cache, mark)
+    return Z.translate_stage(docs, "text", "lang", cache, none).select("doc_id", "action", F.md5("text").alias("english_md5"))
+
+
 MARK = "SELECT user_id, max(ts) AS mark FROM events WHERE ts < TIMESTAMP '2024-01-20' GROUP BY 1"
 
 

@@ -99,7 +99,7 @@ def test_saved_run_classifies_a_new_item_the_same_in_another_session(spark, tmp_
 
 
 def test_too_many_labels_are_refused(spark, monkeypatch):
-    monkeypatch.setattr(M, "MOST_LABELS", 2)
+    monkeypatch.setattr(X, "MOST_LABELS", 2)
     with pytest.raises(ValueError, match="labels"):
         M.label_vocabulary(items(spark), "genres")
 
