@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import automaton, bpe, chunks, codes, decontaminate, licenses, lines, quality, search, simhash, suffixes, token_files, warc
+from . import automaton, bpe, chunks, codes, decontaminate, licenses, lines, oracle, quality, search, simhash, suffixes, token_files, warc
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -19,4 +19,10 @@ QUERIES = {
     "op12_lexical_search": search.op12_lexical_search,
     "op13_vector_codes": codes.op13_vector_codes,
 }
-ORACLE_SQL: dict[str, str] = {"op12_lexical_search": search.SQL, "op13_vector_codes": codes.SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op5_suffix_dedup": oracle.OP5,
+    "op9_warc": oracle.OP9,
+    "op10_decontamination": oracle.OP10,
+    "op12_lexical_search": search.SQL,
+    "op13_vector_codes": codes.SQL,
+}
