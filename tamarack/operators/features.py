@@ -51,6 +51,11 @@ def feature_pipeline(df: DataFrame, texts: list[str], labels: list[str], age: st
     return Pipeline(stages=stages).fit(df)
 
 
+def item_columns(published: DataFrame) -> DataFrame:
+    """What features need of the published games, and no other column is read: the key, the name, the texts, labels and age."""
+    return published.where("type = 'game'").select("appid", "name", "detailed_description", "about_the_game", "short_description", "genres", "categories", "required_age")
+
+
 def drop_steps(df: DataFrame) -> DataFrame:
     """df without the columns between the stages."""
     return df.select(*[c for c in df.columns if not c.endswith(("__labels", "__hot", "__list", "__weighted", "__scaled"))])

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as T
 from ..functions import validate as V
-from ..operators.keyed import keep_one
+from ..operators.keyed import keep_first, keep_one
 
 DETAILS = (
     "type string, name string, required_age string, is_free boolean, controller_support string, detailed_description string, about_the_game string,"
@@ -87,6 +87,21 @@ def reviews(raw: DataFrame, clean=T.clean_text) -> DataFrame:
     return keep_one(rows.where("review_clean <> ''"), ["recommendationid"], [F.desc("timestamp_updated"), F.desc("review")])
 
 
+def videos(raw: DataFrame, key: str, most: int = 20) -> DataFrame:
+    """The newest videos of a search by key: what has a video's id (channels and lists have none), each video once for a key."""
+    rows = raw.where(F.col("id.videoId").isNotNull() & (F.col("id.videoId") != "")).select(
+        key, F.col("id.videoId").alias("videoId"), F.col("snippet.title").alias("title"), F.col("snippet.channelTitle").alias("channel"), F.col("snippet.publishedAt").alias("publishedAt")
+    )
+    newest = [F.desc("publishedAt"), F.desc("videoId"), F.desc("title")]
+    return keep_first(keep_one(rows, [key, "videoId"], newest), [key], newest, most)
+
+
+def polls(raw: DataFrame, key: str, time: str, count: str) -> DataFrame:
+    """A fact for each poll: key, polled_at, day and players (-1 where the poll failed), the last of a key and time."""
+    rows = raw.select(key, F.col(time).alias("polled_at"), F.date_format(time, "yyyy-MM-dd").alias("day"), V.polled_players(F.col(count)).alias("players"))
+    return keep_one(rows, [key, "polled_at"], [F.desc("players")])
+
+
 def comments(raw: DataFrame, clean=T.clean_text) -> DataFrame:
     """videoId, author, text, text_clean, publishedAt (day), likeCount of each comment id once."""
     s = lambda x: F.col(f"snippet.topLevelComment.snippet.{x}")

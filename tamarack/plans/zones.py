@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 from ..operators import keyed as K
 from ..operators import publish as P
 from ..operators import translate as Z
+from ..operators import vectors as X
 from ..sources import manifest as W
+from ..sources import readers as R
 from ..sources import sinks as S
+from ..sources.metrics import Run, read_runs
 from ..sources.shared import fresh, settled
+from ..streaming import incremental as I
 from . import landing as L
 from .registry import query, t
 
@@ -73,6 +77,50 @@ def landing_comments(spark, d):
     return L.comments(raw).select("videoId", "author", "text_clean", "publishedAt", "likeCount")
 
 
+@query("""SELECT user_id, event_id::VARCHAR AS "videoId", event_type AS title, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS "publishedAt" FROM events WHERE event_type <> 'error' QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY strftime(ts, '%Y-%m-%dT%H:%M:%S') DESC, event_id::VARCHAR DESC) <= 20""")
+def landing_videos(spark, d):
+    found = F.when(F.col("event_type") != "error", F.col("event_id").cast("string"))
+    answer = F.to_json(F.struct(F.struct(F.lit("youtube#video").alias("kind"), found.alias("videoId")).alias("id"), F.struct(F.col("event_type").alias("title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("publishedAt")).alias("snippet")))
+    raw = t(spark, d, "events").select("user_id", F.from_json(answer, R.SEARCH).alias("x")).select("user_id", "x.*")
+    return L.videos(raw, "user_id").select("user_id", "videoId", "title", "publishedAt")
+
+
+@query("SELECT user_id, ts AS polled_at, strftime(ts, '%Y-%m-%d') AS day, max(CASE WHEN event_type = 'error' THEN -1 ELSE floor(value) END)::BIGINT AS players FROM events GROUP BY 1, 2")
+def poll_facts(spark, d):
+    """Polls as facts in partitions of their days; a day that is written again has the same rows."""
+    e, path = t(spark, d, "events"), fresh(spark, "polls")
+    facts = L.polls(e.withColumn("players", F.when(F.col("event_type") != "error", F.floor("value"))), "user_id", "ts", "players")
+    S.write_days(facts, path, "day")
+    schema = "user_id bigint, polled_at timestamp_ntz, players bigint, day string"
+    S.write_days(S.read_days(spark, path, schema, "day", date(2024, 1, 15)), f"{path}-again", "day")
+    S.write_days(S.read_days(spark, f"{path}-again", schema, "day"), path, "day")
+    return S.read_days(spark, path, schema, "day").select("user_id", "polled_at", "day", "players")
+
+
+@query("SELECT event_id, user_id, event_type FROM events")
+def stream_above_marks(spark, d):
+    """Events land as two files, the second of which has the first one's again; each run of the stream takes what is later than
+    each user's mark."""
+    e, at = t(spark, d, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts")), fresh(spark, "stream")
+    schema = "event_id bigint, user_id bigint, event_type string, ts timestamp"
+    for rows in (e.where("ts < '2024-01-20'"), e):
+        S.export(rows, f"{at}/in", "json", mode="append")
+        I.run_available(I.above_marks(I.available_files(spark, f"{at}/in", schema, "*.json"), "user_id", "ts"), f"{at}/out", f"{at}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{at}/out").select("event_id", "user_id", "event_type")
+
+
+@query("""SELECT 'r1' AS run, 'load' AS step, 'events' AS metric, count(*)::DOUBLE AS value FROM events UNION ALL SELECT 'r1', 'load', 'latest', max(event_id)::DOUBLE FROM events UNION ALL SELECT 'r1', 'search', 'num_similares', count(*)::DOUBLE
+  FROM embeddings e, embeddings q WHERE q.vec_id % 100 = 0 AND round(list_inner_product(e.embedding::DOUBLE[], q.embedding::DOUBLE[]), 6) >= 0.3""")
+def run_metrics(spark, d):
+    """Counts observed while a load and a search are written."""
+    run, at, e = Run("r1"), fresh(spark, "metrics"), t(spark, d, "embeddings")
+    run.observe(t(spark, d, "events"), "load", events=F.count(F.lit(1)), latest=F.max("event_id")).write.parquet(f"{at}/events")
+    found = X.search(e, e.where("vec_id % 100 = 0"), "embedding", "vec_id", threshold=0.3)
+    run.observe(found, "search", num_similares=F.count(F.lit(1))).write.parquet(f"{at}/found")
+    run.record(spark, f"{at}/runs")
+    return read_runs(spark, f"{at}/runs")
+
+
 CHARTED = "SELECT o_custkey, strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, floor(max(o_totalprice))::BIGINT AS peak FROM orders GROUP BY 1, 2"
 
 

@@ -55,9 +55,19 @@ def replace(df: DataFrame, path: str, keys: list[str] | None = None) -> None:
 
 
 def run_versioned(df: DataFrame, folder: str, run: str) -> None:
-    """Writes run=<run> and makes latest the same rows."""
+    """Writes run=<run> and then makes it the latest run. Until that is done, and if it never is, the one before is the latest."""
     df.write.mode("overwrite").parquet(f"{folder}/run={run}")
-    replace(df.sparkSession.read.parquet(f"{folder}/run={run}"), f"{folder}/latest")
+    write_version(df.sparkSession.createDataFrame([(run,)], "run string").coalesce(1), f"{folder}/latest")
+
+
+def read_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows of the latest run."""
+    return spark.read.parquet(f"{folder}/run={read_version(spark, f'{folder}/latest').first()['run']}")
+
+
+def as_json(df: DataFrame, name: str = "value") -> DataFrame:
+    """Each row as JSON text, nulls written out."""
+    return df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias(name))
 
 
 def write_version(df: DataFrame, path: str, unique: list[list[str]] | None = None, keep: int = 2) -> int:

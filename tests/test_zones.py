@@ -89,7 +89,9 @@ def test_append_new_twice_and_replace(spark, tmp_path):
     with pytest.raises(ValueError):
         S.replace(rows, path, ["id"])
     S.run_versioned(rows, str(tmp_path / "v"), "20240501")
-    assert spark.read.parquet(str(tmp_path / "v" / "latest")).count() == 3
+    S.run_versioned(rows.limit(1), str(tmp_path / "v"), "20240502")
+    assert S.read_latest(spark, str(tmp_path / "v")).count() == 1 and spark.read.parquet(str(tmp_path / "v" / "run=20240501")).count() == 3
+    assert [r[0] for r in S.as_json(rows.where("x = 'b'").withColumn("n", F.lit(None).cast("int"))).collect()] == ['{"id":2,"x":"b","n":null}']
 
 
 def test_upsert_three_step(spark):
