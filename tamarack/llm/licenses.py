@@ -230,10 +230,21 @@ def detect(words: str) -> list[tuple[int, int, Rule]]:
         found += [(m.start(), m.end(), r) for m in r.pattern.finditer(words)]
     found.sort(key=lambda x: (-x[2].priority, x[0] - x[1], x[0], x[2].label))
     kept: list[tuple[int, int, Rule]] = []
-    # intervals of equal priority order by length, so one inside another always comes later
+    # intervals of equal priority order by length, so one inside another always comes later. One lies inside a kept one if the
+    # furthest end of those kept that begin no later reaches its own: a tree of prefix maxima over the beginnings
+    rank = {x: k for k, x in enumerate(sorted({x for x, _, _ in found}), 1)}
+    furthest = [0] * (len(rank) + 1)
     for a, b, r in found:
-        if not any(x <= a and b <= y for x, y, _ in kept):
+        k = at = rank[a]
+        end = 0
+        while k:
+            end = max(end, furthest[k])
+            k &= k - 1
+        if end < b:
             kept.append((a, b, r))
+            while at < len(furthest):
+                furthest[at] = max(furthest[at], b)
+                at += at & -at
     return kept
 
 
