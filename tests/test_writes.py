@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 
 from tamarack.operators import keyed as K
 from tamarack.operators import publish as P
+from tamarack.operators import translate as Z
 from tamarack.plans import landing as L
 from tamarack.sources import manifest as W
 from tamarack.sources import metrics as R
 from tamarack.sources import sinks as S
+from tamarack.sources.parameters import Parameters, read_parameters, selected
 from tamarack.streaming import incremental as I
 
 # --- upserts ----------------------------------------------------------------------------------------------------------
@@ -36,7 +38,7 @@ def brute_upsert(old, new):
 
 def test_upsert_equals_brute_force_and_keeps_keys_and_pairs_unique(spark):
     kind = "k int, n string, t string, v int"
-    for seed in range(4):
+    for seed in range(2):
         rng = random.Random(seed)
         row = lambda v, top: (rng.choice([*range(top), None]), rng.choice(["a", "b", "c", "d", None]), rng.choice("gd"), v)
         old, seen = [], set()
@@ -74,14 +76,13 @@ def history(seed, n=120):
 
 @pytest.mark.parametrize("repoint", [False, True])
 def test_titles_brought_forward_equal_a_rebuild_after_each_day(spark, repoint):
-    for seed in (1, 2):
-        trusted = spark.createDataFrame(history(seed), KIND)
-        table, since = P.rebuild(trusted, "2024-01-01", repoint), "2024-01-01"
-        for day in ("2024-01-03", "2024-01-04", "2024-01-07"):
-            table, since = P.settled(P.refresh_titles(table, trusted, since, day, repoint), "t"), day
-            want = P.rebuild(trusted, day, repoint)
-            assert tuple(P.differences(want, table).first())[2:] == (0, 0)
-        assert want.count() and K.assert_unique(want, ["appid"]) is None and K.assert_unique(want, ["name", "type"]) is None
+    trusted = spark.createDataFrame(history(1 + repoint), KIND).coalesce(2)
+    table, since = P.rebuild(trusted, "2024-01-01", repoint), "2024-01-01"
+    for day in ("2024-01-03", "2024-01-04", "2024-01-07"):
+        table, since = P.settled(P.refresh_titles(table, trusted, since, day, repoint), "t"), day
+        want = P.rebuild(trusted, day, repoint)
+        assert tuple(P.differences(want, table).first())[2:] == (0, 0)
+    assert want.count() and K.assert_unique(want, ["appid"]) is None and K.assert_unique(want, ["name", "type"]) is None
 
 
 def test_children_of_losing_duplicates(spark):
@@ -236,3 +237,51 @@ def test_streams_go_on_after_restarts(spark, tmp_path):
     got = [r["k"] for r in read("recent")]
     # c and d come too late; b again after its time
     assert [got.count(k) for k in ("b", "c", "d", "e", None)] == [2, 0, 0, 1, 1]
+
+
+# --- translation and parameters ---------------------------------------------------------------------------------------
+
+
+def test_each_text_is_translated_once(spark, tmp_path):
+    cache, asked = str(tmp_path / "cache"), spark.sparkContext.accumulator(0)
+    long = lambda w: " ".join([w] * 30)
+    rows = [(1, "hola", "es"), (2, "hola", "es"), (3, long("hi"), "en"), (4, long("ja"), "de"), (5, long("ja"), "de"), (6, None, "de"), (7, "", None), (8, long("no"), None), (9, long("bad"), "fr")]
+
+    def service(batches):
+        for b in batches:
+            asked.add(len(b))
+            b["translated"] = [None if t.startswith("bad") else f"<{t}>" for t in b["text"]]
+            yield b[["digest", "translated"]]
+
+    def run(rows):
+        df = spark.createDataFrame(rows, "k int, text string, lang string").repartition(3)
+        out = Z.translate_stage(df, "text", "lang", cache, lambda x: x.mapInPandas(service, "digest string, translated string"))
+        return {r["k"]: (r["action"], r["text"]) for r in [*out.collect(), *out.collect()]}
+
+    want = {1: ("short", "<hola>"), 2: ("short", "<hola>"), 3: ("keep_en", long("hi")), 4: ("translate", f"<{long('ja')}>"), 5: ("translate", f"<{long('ja')}>"), 6: ("empty", ""), 7: ("empty", ""), 8: ("translate", f"<{long('no')}>"), 9: ("translate", long("bad"))}
+    assert run(rows) == want and asked.value == 4
+    assert run([*rows, (10, "hola", "es")]) == want | {10: ("short", "<hola>")} and asked.value == 5  # the one that failed, again
+
+
+def test_parameters(spark, tmp_path):
+    put = lambda text: (tmp_path / "p").write_text(text) and str(tmp_path / "p")
+    assert read_parameters(spark, put("{}")) == Parameters() and list(Parameters().ks) == list(range(5, 31))
+    p = read_parameters(spark, put('{"clustering": {"min_k": 3, "n_init": "auto"}, "similitud": {"umbral": 0.5}, "run": {"mode": "FULL"}, "other": 1}'))
+    assert (p.min_k, p.max_k, p.umbral, p.mode) == (3, 30, 0.5, "FULL")
+    pytest.importorskip("yaml")
+    p = read_parameters(spark, put("clustering:\n  min_k: 4\n  max_k: 6\nrun:\n  trial_ids: [7]\n"))
+    assert (p.ks, p.trial_ids) == (range(4, 7), (7,))
+    df = spark.range(10).withColumnRenamed("id", "appid")
+    assert [r[0] for r in selected(df, "appid", p).collect()] == [7] and selected(df, "appid", Parameters(mode="FULL")).count() == 10
+    for bad in ('{"clustering": {"min_k": 1}}', '{"similitud": {"umbral": 2}}', '{"run": {"mode": "x"}}'):
+        with pytest.raises(ValueError):
+            read_parameters(spark, put(bad))
+
+
+def test_videos_and_polls(spark):
+    hit = lambda k, v, t, at: (k, ("youtube#video", v), (t, None, at, "c"))
+    rows = [hit(1, "a", "x", "2024-01-02"), hit(1, "a", "x", "2024-01-02"), hit(1, "b", "y", "2024-01-03"), hit(1, None, "channel", "2024-01-09"), hit(1, "", "z", "2024-01-09"), hit(2, "c", "n", None), (3, None, None)]
+    got = L.videos(spark.createDataFrame(rows, "appid int, id struct<kind:string,videoId:string>, snippet struct<title:string,description:string,publishedAt:string,channelTitle:string>"), "appid", 1)
+    assert sorted((r["appid"], r["videoId"]) for r in got.collect()) == [(1, "b"), (2, "c")]
+    polls = spark.createDataFrame([(1, "2024-01-01 10:00:00", 5), (1, "2024-01-01 10:00:00", None), (1, "2024-01-01 11:00:00", None)], "appid int, at string, n int").withColumn("at", F.col("at").cast("timestamp_ntz"))
+    assert sorted((str(r["polled_at"])[11:13], r["day"], r["players"]) for r in L.polls(polls, "appid", "at", "n").collect()) == [("10", "2024-01-01", 5), ("11", "2024-01-01", -1)]
