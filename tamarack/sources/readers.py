@@ -46,6 +46,12 @@ def tagged_ndjson(spark: SparkSession, folder: str, schema: str, prefix: str, na
     return rows.withColumn(name, id_from_file(F.col("_metadata.file_name"), prefix))
 
 
+def reviews_by_game(spark: SparkSession, folder: str, prefix: str = "reviews_") -> DataFrame:
+    """The reviews of files reviews_<appid>.ndjson, which don't name their game themselves, with its appid."""
+    rows = tagged_ndjson(spark, folder, REVIEWS, prefix, "appid")
+    return rows.withColumn("appid", F.col("appid").try_cast("int"))
+
+
 def json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that hold one JSON array each; missing or malformed gives no rows."""
     if not there(spark, path):

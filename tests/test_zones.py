@@ -64,6 +64,8 @@ def test_readers(spark, tmp_path):
     (tmp_path / "transcript_v2.ndjson").write_text("")
     got = L.transcripts(R.tagged_ndjson(spark, str(tmp_path), R.TRANSCRIPT, "transcript_", "video_id"))
     assert [tuple(r) for r in got.collect()] == [("v1", "a b")]
+    (tmp_path / "reviews_570.ndjson").write_text('{"recommendationid":"1","review":"ok","timestamp_created":5,"timestamp_updated":6}')
+    assert [(r["appid"], r["review_clean"]) for r in L.reviews(R.reviews_by_game(spark, str(tmp_path))).collect()] == [(570, "ok")]
     assert R.ndjson(spark, str(tmp_path / "none"), R.NEWS).isEmpty() and R.json_array(spark, str(tmp_path / "none.json"), R.PARTS).isEmpty()
     assert R.json_array(spark, str(tmp_path / "part2.json"), R.PARTS).count() == 2
 
