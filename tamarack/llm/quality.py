@@ -20,7 +20,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -79,6 +78,11 @@ def features_of(text: Column) -> Column:
     return run(text.cast("binary"))
 
 
+def measured(docs: DataFrame, text_col: str) -> Column:
+    """The FEATURES of each row: its column __f, or measured from the text."""
+    return F.col("__f") if "__f" in docs.columns else features_of(F.col(text_col))
+
+
 def base_failed(f: Column) -> Column:
     return (f["n_words"] < MIN_WORDS) | (100 * f["n_repeat_words"] > MAX_REPEAT_PERCENT * f["n_words"])
 
@@ -124,31 +128,32 @@ def fit_cutoffs(docs: DataFrame, labels: DataFrame, text_col: str = "text", stra
     """stratum and a cutoff (grid step) per rule, from the documents that labels (doc_id, quality) calls good."""
     good = labels.where("quality = 1 and doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__w"))
     # measured before the join, so that six numbers move and no text does
-    held = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), features_of(F.col(text_col)).alias("f")).join(good, "doc_id")
+    held = docs.where("doc_id is not null").select("doc_id", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"), measured(docs, text_col).alias("f")).join(good, "doc_id")
     steps = held.select("stratum", "__w", F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), s.alias("step")) for r, s in scores(F.col("f")).items()])).alias("x"))
     hist = materialize(steps.groupBy("stratum", "x.rule", "x.step").agg(F.sum("__w").alias("n")), "quality-hist")
     level = delta / (len(RULES) * max(1, hist.select("stratum").distinct().count()))
 
-    def choose(rows: pd.DataFrame) -> pd.DataFrame:
+    def choose(rows: pa.Table) -> pa.Table:
         counts = np.zeros(GRID + 1, np.int64)
         np.add.at(counts, rows["step"].to_numpy(), rows["n"].to_numpy())
-        return pd.DataFrame({"stratum": rows["stratum"][:1], "rule": rows["rule"][:1], "cutoff": [choose_cutoff(counts, alpha / len(RULES), level)]})
+        return pa.table({"stratum": rows["stratum"][:1], "rule": rows["rule"][:1], "cutoff": pa.array([choose_cutoff(counts, alpha / len(RULES), level)], pa.int32())})
 
-    cut = hist.groupBy("stratum", "rule").applyInPandas(choose, "stratum string, rule string, cutoff int")
+    # Arrow in place of pandas, which would cost every worker process some 40 MB for these few rows
+    cut = hist.groupBy("stratum", "rule").applyInArrow(choose, "stratum string, rule string, cutoff int")
     return cut.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"__cut_{r}") for r in RULES])
 
 
 def judge(docs: DataFrame, labels: DataFrame, text_col: str = "text", stratum_col: str = "lang", **params) -> DataFrame:
-    """docs with __f (struct of FEATURES), __base_failed and __kept."""
+    """docs with __f (struct of FEATURES; measured from the text unless docs has it), __base_failed and __kept."""
     cut = materialize(fit_cutoffs(docs, labels, text_col, stratum_col, **params), "quality-cutoffs").withColumnRenamed("stratum", "__s")
     rows = docs.withColumn("__s", F.coalesce(F.col(stratum_col).cast("string"), F.lit("")))
     # a row per language: broadcast where its size is seen to be small, else the planner joins by key
-    rows = (rows.join(F.broadcast(cut), "__s", "left") if cut.count() <= 10_000 else rows.join(cut, "__s", "left")).withColumn("__f", features_of(F.col(text_col)))
+    rows = (rows.join(F.broadcast(cut), "__s", "left") if cut.count() <= 10_000 else rows.join(cut, "__s", "left")).withColumn("__f", measured(docs, text_col))
     over = F.lit(False)
     for r, s in scores(F.col("__f")).items():
         over = over | (s > F.coalesce(F.col(f"__cut_{r}"), F.lit(GRID)))
     rows = rows.withColumn("__base_failed", base_failed(F.col("__f")))
-    return rows.withColumn("__kept", ~F.col("__base_failed") & ~over).select(*docs.columns, "__f", "__base_failed", "__kept")
+    return rows.withColumn("__kept", ~F.col("__base_failed") & ~over).select(*[c for c in docs.columns if c != "__f"], "__f", "__base_failed", "__kept")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
@@ -157,6 +162,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, **params) -> DataFrame:
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    # each text is measured once; cutoffs and verdicts come from the written numbers
+    docs = materialize(table(spark, sf_dir, "documents").select("doc_id", "lang", features_of(F.col("text")).alias("__f")), "quality-features")
     f = [F.col(f"__f.{x}").alias(x) for x in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")]
     return judge(docs, table(spark, sf_dir, "labels")).select("doc_id", *f, F.col("__base_failed").alias("base_failed"), F.col("__kept").alias("kept"))
