@@ -35,9 +35,24 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: The paths that this process gave out, in order.
+given_out: list[str] = []
+
+
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder. What is written there stays until drop_scratch, as results are read lazily."""
+    given_out.append(f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}")
+    return given_out[-1]
+
+
+def drop_scratch(spark: SparkSession, since: int, keep: Iterable[str] = ()) -> None:
+    """Deletes what was written under the paths given out since then (a length of given_out), but for some. For a caller who
+    has what it needs elsewhere: DataFrames that still read these paths fail afterwards."""
+    keep = set(keep)
+    for path in [p for p in given_out[since:] if p not in keep]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        given_out.remove(path)
 
 
 #: Rows of a written table that may be broadcast: some tens of MB where rows are narrow.

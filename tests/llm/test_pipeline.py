@@ -1,3 +1,4 @@
+import os
 import hashlib
 
 import numpy as np
@@ -56,3 +57,14 @@ def test_edge_cases(spark, edge, none):
         out = stage(spark, edge, SF)
         assert out.columns == edge.columns and out.count() <= edge.count(), name
         assert not stage(spark, none, SF).count(), name
+
+
+def test_run_leaves_its_result_only(spark):
+    from tamarack.llm import common
+
+    common.materialize(spark.range(3), "other")  # another query's table stays
+    before = list(common.given_out)
+    rows = cp.run(spark, SF)
+    assert common.given_out[: len(before)] == before and len(common.given_out) == len(before) + 1 and rows.count() > 0
+    folder = common.shared_dir(spark).removeprefix("file://")
+    assert not [f for f in os.listdir(folder) if f.startswith("pipeline-") and f not in common.given_out[-1]]
