@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tamarack.llm import bpe, decontaminate, lines, quality, simhash
-from tamarack.llm.common import materialize, table
+from tamarack.llm.common import drop_scratch, given_out, materialize, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,9 +53,10 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, since = table(spark, sf_dir, "documents"), len(given_out)
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        drop_scratch(spark, since, given_out[-1:])  # the stage's rows are written: what led to them isn't needed any more
     return docs
 
 
