@@ -122,7 +122,10 @@ def new_item_clusters(spark, d):
 
 # --- languages --------------------------------------------------------------------------------------------------------
 
-TRIGRAMS = """c AS MATERIALIZED (SELECT doc_id, lang, unnest(list_transform(range(1, length(x) - 1), lambda i: substring(x, i, 3))) AS gram FROM (SELECT doc_id, lang, regexp_replace(lower(text), '[ \\t\\n\\r\\f]+', ' ', 'g') AS x FROM documents))"""
+#: Texts are cut into stretches first, as a place far into a text is dear.
+TRIGRAMS = """x AS (SELECT doc_id, lang, regexp_replace(lower(text), '[ \\t\\n\\r\\f]+', ' ', 'g') AS x FROM documents),
+  y AS (SELECT doc_id, lang, substring(x, o, 102) AS x, least(100, length(x) - 1 - o) AS n FROM (SELECT doc_id, lang, x, unnest(range(1, length(x) - 1, 100)) AS o FROM x)),
+  c AS MATERIALIZED (SELECT doc_id, lang, unnest(list_transform(range(1, n + 1), lambda i: substring(x, i, 3))) AS gram FROM y)"""
 
 
 def _language(where: str) -> str:
