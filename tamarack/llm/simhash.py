@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
 from . import blocks
-from .common import CELL_ROWS, components, hamming_forest, materialize, small, table
+from .common import CELL_ROWS, components, hamming_forest, materialize, small, table, tidy
 
 SEED, SHINGLE, MAX_BITS, N_BLOCKS = 42, 3, 3, 6
 _LANES = np.uint64(0x0101010101010101)
@@ -69,7 +69,7 @@ def with_fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([_signed(fingerprint(t.as_py())) for t in b.column(1)], pa.int64())], ["id", "fp"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(run, f"id {kind}, fp bigint")
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")).mapInArrow(tidy("simhash", run), f"id {kind}, fp bigint")
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS, n_blocks: int = N_BLOCKS, cell_rows: int = CELL_ROWS) -> DataFrame:
@@ -154,7 +154,7 @@ def _wide(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType
     kind_of = to_arrow_type(kind)
     rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")).alias("text"))
-    return rows.mapInArrow(run, f"id {kind.simpleString()}, node binary, fp bigint, keys array<bigint>")
+    return rows.mapInArrow(tidy("simhash", run), f"id {kind.simpleString()}, node binary, fp bigint, keys array<bigint>")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -163,14 +163,16 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) ->
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            wanted, ends = b.column(1).flatten(), (b.column(1).offsets.to_numpy() - b.column(1).offsets[0].as_py()).tolist()
+            nodes = wanted.field("node")
             for i in range(b.num_rows):
                 text = b.column(0)[i].as_py()
                 name = _name(text)
-                if want := [w for w in b.column(1)[i].as_py() if w["node"] == name]:
+                if want := [k for k in range(ends[i], ends[i + 1]) if nodes[k].as_py() == name]:
                     value = np.unique(shingle_sets([text])[0].astype(np.uint32)).tobytes()
-                    yield blocks.found_rows(want, [value] * len(want), pa.binary())
+                    yield blocks.found_rows(wanted.take(pa.array(want)), [value] * len(want), pa.binary())
 
-    found = rows.select(F.col("text").cast("binary"), "wanted").mapInArrow(run, f"{blocks.FOUND}, value binary")
+    found = rows.select(F.col("text").cast("binary"), "wanted").mapInArrow(tidy("simhash", run), f"{blocks.FOUND}, value binary")
     return found.dropDuplicates(["node"])
 
 
