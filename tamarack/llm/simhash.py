@@ -158,21 +158,19 @@ def _wide(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """node, fp, cells, value (the shingles as sorted 32-bit numbers) of wanted (id, node, fp, cells)."""
-    rows = blocks.of_documents(docs, wanted, ["node", "fp", "cells"], id_col, text_col)
+    """node, value (the shingles as sorted 32-bit numbers) of wanted (id, node)."""
+    rows = blocks.of_documents(docs, wanted, "node", id_col, text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            wanted, ends = b.column(1).flatten(), (b.column(1).offsets.to_numpy() - b.column(1).offsets[0].as_py()).tolist()
-            nodes = wanted.field("node")
-            for i in range(b.num_rows):
-                text = b.column(0)[i].as_py()
+            for text, nodes in zip(b.column(0), b.column(1), strict=True):
+                text = text.as_py()
                 name = _name(text)
-                if want := [k for k in range(ends[i], ends[i + 1]) if nodes[k].as_py() == name]:
+                if name in nodes.as_py():
                     value = np.unique(shingle_sets([text])[0].astype(np.uint32)).tobytes()
-                    yield blocks.found_rows(wanted.take(pa.array(want)), [value] * len(want), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([name], pa.binary()), pa.array([value], pa.binary())], ["node", "value"])
 
-    found = rows.select(F.col("text").cast("binary"), "wanted").mapInArrow(tidy("simhash", run), f"{blocks.FOUND}, value binary")
+    found = rows.select(F.col("text").cast("binary"), "wanted").mapInArrow(tidy("simhash", run), "node binary, value binary")
     return found.dropDuplicates(["node"])
 
 
@@ -189,8 +187,8 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     rows = materialize(_wide(docs, id_col, text_col), "shingles")
     nodes = materialize(rows.groupBy("node").agg(F.min("id").alias("rep"), F.first("fp").alias("fp"), F.first("keys").alias("keys")), "shingle-nodes")
     near = blocks.partners(nodes.select("node", "fp", "keys"), WIDE_BITS, cell_rows, "shingles")
-    wanted = nodes.select(F.col("rep").alias("id"), "node").join(near, "node")
-    sets = _sets_of(docs, wanted, id_col, text_col)
+    wanted = nodes.join(near.select("node"), "node", "left_semi").select(F.col("rep").alias("id"), "node")
+    sets = _sets_of(docs, wanted, id_col, text_col).join(near, "node")
     links = blocks.verified_links(sets, lambda a, b: jaccard(a, b, least), lambda x: np.frombuffer(x, np.uint32), WIDE_BITS, "binary")
     roots = components(links, "shingle-links")
     linked = nodes.select("node", "rep").join(roots, "node")
