@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.text import normalize_title
 from ..sources.shared import settled
 from ..sources.sinks import append_days, read_days, table_exists
-from .keyed import any_order, attach_nested, count_children, insert_only_new, keep_one, nest, union_all, upsert_three_step
+from .keyed import any_order, attach_nested, count_children, insert_only_new, keep_one, nest, upsert_three_step
 
 #: The published columns in their order; children carry the id of their parent in place of the array.
 COLUMNS = [
@@ -53,9 +53,9 @@ def winners(rows: DataFrame) -> DataFrame:
     return rank_titles(games, "name", "__refs", "__listed", "__votes", "appid").where("rn = 1").drop("rn", "__refs", "__listed", "__votes")
 
 
-def full_refresh(trusted: DataFrame, repoint: bool = False) -> DataFrame:
+def full_refresh(trusted: DataFrame, repoint: bool = False, unique: bool = False) -> DataFrame:
     """The whole published table. Children of a game that isn't its title's winner are dropped; with repoint they go to the
-    winner."""
+    winner. unique: each (type, appid) stands once, so that a child needn't be looked for twice."""
     rows = load_candidates(trusted)
     best = winners(rows).drop("dlc")
     children = rows.where("type = 'dlc' AND fullgame_appid IS NOT NULL").withColumn("base_appid", F.col("fullgame_appid"))
@@ -63,7 +63,8 @@ def full_refresh(trusted: DataFrame, repoint: bool = False) -> DataFrame:
         titles = best.select(normalize_title(F.col("name")).alias("__title"), F.col("appid").alias("__winner"))
         games = rows.where("type = 'game'").select(F.col("appid").alias("__game"), normalize_title(F.col("name")).alias("__title")).join(titles, "__title").drop("__title")
         children = children.join(games, F.col("fullgame_appid") == F.col("__game")).withColumn("base_appid", F.col("__winner")).drop("__game", "__winner")
-    children = keep_one(children, ["base_appid", "appid"], [F.desc("updated_at"), F.desc("name")])
+    if not unique:
+        children = keep_one(children, ["base_appid", "appid"], [F.desc("updated_at"), F.desc("name")])
     # the winners' side is narrow; whether it is broadcast is the planner's choice by its size
     children = children.join(best.select(F.col("appid").alias("base_appid")), "base_appid", "left_semi")
     embedded = nest(conform(children, [*COLUMNS, "fullgame_appid", "base_appid"]), "base_appid", "appid", [*COLUMNS, "fullgame_appid"], "dlc")
@@ -72,12 +73,15 @@ def full_refresh(trusted: DataFrame, repoint: bool = False) -> DataFrame:
 
 def current(trusted: DataFrame) -> DataFrame:
     """The last version of each record by (type, appid)."""
-    return keep_one(trusted, ["type", "appid"], [F.desc("updated_at"), *any_order(trusted.columns)])
+    # the columns themselves are a total order; as JSON they'd be shuffled and sorted a second time, so only maps, which have none, are
+    maps = [x.name for x in trusted.schema if "map<" in x.dataType.simpleString()]
+    order = [F.desc(c) for c in trusted.columns if c not in ("type", "appid", "updated_at", *maps)]
+    return keep_one(trusted, ["type", "appid"], [F.desc("updated_at"), *order, *(any_order(maps) if maps else [])])
 
 
 def rebuild(trusted: DataFrame, until: str, repoint: bool = False) -> DataFrame:
     """The published table from all records up to a day."""
-    return full_refresh(current(load_candidates(trusted.where(F.col("updated_at") <= until))), repoint)
+    return full_refresh(current(load_candidates(trusted.where(F.col("updated_at") <= until))), repoint, unique=True)
 
 
 def refresh_titles(published: DataFrame, trusted: DataFrame, since: str, until: str, repoint: bool = False) -> DataFrame:
@@ -97,7 +101,7 @@ def refresh_titles(published: DataFrame, trusted: DataFrame, since: str, until:
     theirs = children.join(own.withColumnRenamed("appid", "fullgame_appid"), "fullgame_appid", "left_semi").select("appid").distinct()
     every = rows.where("type = 'dlc'")  # a child's last version may name no game
     part = part.unionByName(every.join(theirs, "appid", "left_semi").select(*part.columns))
-    anew = full_refresh(current(part), repoint).withColumn("__title", normalize_title(F.col("name")))
+    anew = full_refresh(current(part), repoint, unique=True).withColumn("__title", normalize_title(F.col("name")))
     anew = anew.join(touched, "__title", "left_semi").drop("__title")  # titles that a touched game moved from or to are all touched
     kept = published.withColumn("__title", normalize_title(F.col("name"))).join(touched, "__title", "left_anti").drop("__title")
     return kept.unionByName(anew)
@@ -105,10 +109,11 @@ def refresh_titles(published: DataFrame, trusted: DataFrame, since: str, until:
 
 def differences(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: how many rows each has, and how many of them the other lacks (repeated rows count as often as they stand)."""
-    right = right.select(*left.columns)
-    sides = {"n_left": left, "n_right": right, "only_left": left.exceptAll(right), "only_right": right.exceptAll(left)}
-    counts = union_all([df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("side"), "n") for name, df in sides.items()])
-    return counts.agg(*[F.sum(F.when(F.col("side") == name, F.col("n"))).alias(name) for name in sides])
+    sides = [df.select(*left.columns, F.lit(n).alias("__l"), F.lit(1 - n).alias("__r")) for df, n in ((left, 1), (right, 0))]
+    # one aggregate over both sides: each is computed and shuffled once
+    rows = sides[0].unionAll(sides[1]).groupBy(*left.columns).agg(F.sum("__l").alias("l"), F.sum("__r").alias("r"))
+    sums = {"n_left": F.col("l"), "n_right": F.col("r"), "only_left": F.greatest(F.col("l") - F.col("r"), F.lit(0)), "only_right": F.greatest(F.col("r") - F.col("l"), F.lit(0))}
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name) for name, c in sums.items()])
 
 
 def attach_children(published: DataFrame, children: DataFrame, union: bool = False) -> DataFrame:

@@ -285,3 +285,16 @@ def test_videos_and_polls(spark):
     assert sorted((r["appid"], r["videoId"]) for r in got.collect()) == [(1, "b"), (2, "c")]
     polls = spark.createDataFrame([(1, "2024-01-01 10:00:00", 5), (1, "2024-01-01 10:00:00", None), (1, "2024-01-01 11:00:00", None)], "appid int, at string, n int").withColumn("at", F.col("at").cast("timestamp_ntz"))
     assert sorted((str(r["polled_at"])[11:13], r["day"], r["players"]) for r in L.polls(polls, "appid", "at", "n").collect()) == [("10", "2024-01-01", 5), ("11", "2024-01-01", -1)]
+
+
+def test_last_versions_move_no_json(spark):
+    rows = spark.createDataFrame([("game", 1, "2024-01-01", "a", {"k": 1}), ("game", 1, "2024-01-02", "b", {"k": 2}), ("game", 1, "2024-01-02", "c", None), ("dlc", 1, "2024-01-01", None, None)], "type string, appid int, updated_at string, name string, m map<string,int>")
+    assert "to_json" not in P.current(rows.drop("m"))._jdf.queryExecution().toString()
+    for df in (rows, rows.drop("m")):
+        assert sorted((r["type"], r["appid"], r["name"]) for r in P.current(df).collect()) == [("dlc", 1, None), ("game", 1, "c")]
+
+
+def test_differences_count_repeated_rows(spark):
+    left, right = (spark.createDataFrame([(x, [y]) for x, y in v], "a int, b array<string>") for v in ([(1, "x"), (1, "x"), (2, None)], [(1, "x"), (3, "y")]))
+    assert tuple(P.differences(left, right).first()) == (3, 2, 2, 1)
+    assert tuple(P.differences(left.limit(0), right.limit(0)).first()) == (0, 0, 0, 0)
