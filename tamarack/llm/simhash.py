@@ -182,6 +182,21 @@ def jaccard(a: np.ndarray, b: np.ndarray, least: float) -> bool:
     return both >= least * (len(a) + len(b) - both)
 
 
+def _jaccards(values: pa.ChunkedArray, least: float):
+    """A function of index pairs and the differing bits of their fingerprints: whether the sets are similar."""
+    sets: dict[int, np.ndarray] = {}
+
+    def get(k: int) -> np.ndarray:
+        if k not in sets:
+            sets[k] = np.frombuffer(values[k].as_py(), np.uint32)
+        return sets[k]
+
+    def decide(i: np.ndarray, j: np.ndarray, bits: np.ndarray) -> np.ndarray:
+        return np.array([jaccard(get(x), get(y), least) for x, y in zip(i.tolist(), j.tolist(), strict=True)], bool)
+
+    return decide
+
+
 def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: float = SIMILARITY, cell_rows: int = WIDE_CELL) -> DataFrame:
     """id, component_id of each row with an id: the smallest id reachable over links of at least this similarity."""
     rows = materialize(_wide(docs, id_col, text_col), "shingles")
@@ -189,7 +204,7 @@ def similar_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     near = blocks.partners(nodes.select("node", "fp", "keys"), WIDE_BITS, cell_rows, "shingles")
     wanted = nodes.join(near.select("node"), "node", "left_semi").select(F.col("rep").alias("id"), "node")
     sets = _sets_of(docs, wanted, id_col, text_col).join(near, "node")
-    links = blocks.verified_links(sets, lambda a, b: jaccard(a, b, least), lambda x: np.frombuffer(x, np.uint32), WIDE_BITS, "binary")
+    links = blocks.verified_links(sets, WIDE_BITS, "binary", lambda values: _jaccards(values, least))
     roots = components(links, "shingle-links")
     linked = nodes.select("node", "rep").join(roots, "node")
     names = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
