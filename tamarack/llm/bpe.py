@@ -3,8 +3,9 @@
 The queue holds, for each merge rank, the linked-list positions whose pair has that rank; a hierarchical bitmap over the
 ranks finds the lowest rank with a position in a few word operations. Each merge costs a constant number of steps
 whatever the length of the pre-token, where rescanning the pairs costs their number. Entries that an earlier merge made
-stale are recognised when they are taken out (the pair at that position no longer has that rank) and skipped. Several
-pre-tokens can lie in one buffer, as no pair spans a border: ranks only order merges within a pre-token.
+stale are recognised when they are taken out (the pair at that position no longer has that rank) and skipped. Many
+pre-tokens lie in one buffer, as no pair spans a border: ranks only order merges within a pre-token, so the first positions that a
+rank has in each of them are merged at once, as arrays.
 
 Text is cut at single spaces between other characters first; such a space always starts a token of the pattern, so the
 pieces can be encoded apart and remembered. The memory of pieces is bounded (CACHE entries for each worker) and only
@@ -20,7 +21,6 @@ import base64
 import hashlib
 from collections.abc import Iterator
 from functools import cache
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +36,45 @@ _MARKS = frozenset(".,;:!?")
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
+#: Positions of a rank that are merged at once, at least.
+MANY = 100
+#: Positions for each pre-token, on average, from which they are merged one by one.
+SHARE = 8
+
+
+class PairTable:
+    """Ranks of pairs of token numbers, many at a time: open addressing in arrays."""
+
+    def __init__(self, left: list[int], right: list[int], rank: list[int]):
+        key = (np.array(left, np.uint64) << np.uint64(32)) | np.array(right, np.uint64)
+        size = max(10, (4 * len(key)).bit_length())
+        self.shift, self.mask, self.none = np.uint64(64 - size), (1 << size) - 1, ~np.uint64(0)
+        self.key, self.rank = np.full(1 << size, self.none, np.uint64), np.full(1 << size, -1, np.int32)
+        rest, at, rank = np.arange(len(key)), self._slot(key), np.array(rank, np.int32)
+        while len(rest):
+            free = rest[self.key[at[rest]] == self.none]
+            _, first = np.unique(at[free], return_index=True)
+            here = free[first]
+            self.key[at[here]], self.rank[at[here]] = key[here], rank[here]
+            rest = rest[self.key[at[rest]] != key[rest]]
+            at[rest] = at[rest] + 1 & self.mask
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+
+    def get(self, left: np.ndarray | int, right: np.ndarray | int) -> np.ndarray:
+        """The rank of each pair, -1 where there is none."""
+        key = (np.asarray(left).astype(np.uint64) << np.uint64(32)) | np.asarray(right).astype(np.uint64)
+        at = self._slot(key)
+        found, out = self.key[at], self.rank[at]
+        rest = np.flatnonzero((found != key) & (found != self.none))
+        while len(rest):
+            at[rest] = at[rest] + 1 & self.mask
+            found, out[rest] = self.key[at[rest]], self.rank[at[rest]]
+            rest = rest[(found != key[rest]) & (found != self.none)]
+        return out
+
+
 class RankQueue:
     """Positions in buckets by rank. Three levels of 64-bit words mark which buckets hold any."""
 
@@ -84,13 +123,22 @@ class Coder:
     """Encodes and decodes by the ranks of a rank file; pattern cuts pre-tokens."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, cache_size: int = CACHE):
-        self.ranks, self.tokens = ranks, {r: t for t, r in ranks.items()}
+        self.ranks = ranks
         space = f"[{_SPACE}]"
         exact = pattern.replace(r"[^\s", f"[^{_SPACE}").replace(r"\S", f"[^{_SPACE}]").replace(r"\s", space)
         self.cut = regex.compile(exact).findall
-        self.odd = regex.compile(rf" (?={space})|(?<={space}) ").search
+        self.spaces = [c for c in map(chr, range(0x3001)) if regex.fullmatch(space, c)]
         self.spaced = regex.compile(f"(?<![{_SPACE}]) (?![{_SPACE}])").split
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        n_ranks = max(ranks.values(), default=0) + 1
+        self.queue, self.n_ranks = RankQueue(n_ranks), n_ranks
+        self.tokens: list[bytes | None] = [None] * n_ranks
+        for t, r in ranks.items():
+            self.tokens[r] = t
+        number = {bytes([b]): n_ranks + b for b in range(256)} | ranks  # a byte that is no token has a number beyond them
+        self.of_byte = np.array([number[bytes([b])] for b in range(256)], np.int32)
+        get = number.get
+        pairs = [(x, y, r) for t, r in ranks.items() for k in range(1, len(t)) if (x := get(t[:k])) is not None and (y := get(t[k:])) is not None]
+        self.pairs = PairTable(*map(list, zip(*pairs, strict=True))) if pairs else PairTable([], [], [])
         self.pair_rank = np.full(1 << 16, -1, np.int32)
         for t, r in ranks.items():
             if len(t) == 2:
@@ -98,69 +146,121 @@ class Coder:
         # chunks and pre-tokens in one: a pre-token alone is cut as one pre-token, so either way a string has the same ids
         self.known = Memory(cache_size)
 
+    def odd(self, text: str) -> bool:
+        """Whether a space stands beside another character of \\s."""
+        return any(c in text and (f" {c}" in text or f"{c} " in text) for c in self.spaces)
+
     def merge(self, tokens: list[bytes]) -> list[bytes]:
-        """The ids of each pre-token, as little-endian unsigned 32-bit numbers."""
-        ranks, queue = self.ranks, self.queue
-        get, put = ranks.get, queue.put
-        bucket, of_rank = queue.bucket, self.tokens
+        """The ids of each pre-token, as little-endian unsigned 32-bit numbers. Of the positions of a rank the first in each
+        pre-token are merged at once if there are many, the others one by one."""
+        if not tokens:
+            return []
+        get, put, bucket, fill = self.ranks.get, self.queue.put, self.queue.bucket, self.queue.fill
         buf = b"".join(tokens)
         n = len(buf)
-        after, before = list(range(1, n + 2)), list(range(-1, n))  # linked list of the parts, by first byte
-        starts = np.cumsum([0, *map(len, tokens)])
-        border = np.zeros(n + 1, np.uint8)  # 1: a pre-token starts here
-        border[starts] = 1
+        size = np.array([*map(len, tokens)])
+        starts = np.append(0, np.cumsum(size))
+        # a linked list of the parts, by first byte; each part's token and the rank of the pair that it begins
+        afters, befores = np.arange(1, n + 2, dtype=np.int32), np.arange(-1, n, dtype=np.int32)
         first = np.frombuffer(buf, np.uint8)
-        of_pair = self.pair_rank[first[:-1].astype(np.intp) << 8 | first[1:]]
-        of_pair[border[1:n] == 1] = -1
-        order = np.argsort(of_pair, kind="stable")
-        order = order[of_pair[order] >= 0]
-        at_rank, begin = np.unique(of_pair[order], return_index=True)
-        for r, places in zip(at_rank.tolist(), np.split(order, begin[1:]), strict=False):
-            queue.fill(r, places.tolist())
-        border, alive = bytearray(border), bytearray(b"\1" * (n + 1))
-        while (taken := queue.take()) is not None:
+        parts = np.append(self.of_byte[first], np.int32(0))
+        borders = np.zeros(n + 1, bool)  # a pre-token starts here
+        borders[starts] = True
+        ranks = np.full(n + 1, -1, np.int32)
+        ranks[: n - 1] = self.pair_rank[first[:-1].astype(np.intp) << 8 | first[1:]]
+        ranks[:-1][borders[1:]] = -1
+        owner, lives = np.repeat(np.arange(len(tokens), dtype=np.int32), size), np.ones(n, bool)
+        after, before, part, rank_of, alive, border = (memoryview(x) for x in (afters, befores, parts, ranks, lives.view(np.uint8), borders.view(np.uint8)))
+
+        def deal(at: np.ndarray, to: np.ndarray) -> None:
+            order = np.argsort(to, kind="stable")
+            at, to = at[order], to[order]
+            edges = np.flatnonzero(np.diff(to, prepend=-1, append=-1)).tolist()
+            at, keys = at.tolist(), to[edges[:-1]].tolist()
+            for r, x, y in zip(keys, edges, edges[1:], strict=False):
+                if held := bucket[r]:
+                    held += at[x:y]
+                else:
+                    fill(r, at[x:y])
+
+        def ahead(rank: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Merges the first of the positions in each pre-token; returns the others and those that wait."""
+            of = owner[at]
+            new = np.ones(len(at), bool)
+            new[1:] = of[1:] != of[:-1]
+            i, rest = at[new], at[~new]
+            j = afters[i]
+            end = afters[j]
+            lives[j], ranks[j], afters[i], befores[end], parts[i] = False, -1, end, i, rank
+            right = np.where(borders[end], -1, self.pairs.get(rank, parts[end]))
+            ranks[i] = right
+            inner = np.flatnonzero(~borders[i])
+            h = befores[i[inner]]
+            left = self.pairs.get(parts[h], rank)
+            ranks[h] = left
+            deal(np.concatenate([i[right >= 0], h[left >= 0]]), np.concatenate([right[right >= 0], left[left >= 0]]))
+            # a lower rank comes first in its pre-token, whose other places wait
+            low = (right >= 0) & (right < rank)
+            low[inner] |= (left >= 0) & (left < rank)
+            if not low.any():
+                return rest, rest[:0]
+            waits = np.isin(of[~new], of[new][low])
+            return rest[~waits], rest[waits]
+
+        whole = np.flatnonzero(ranks >= 0)
+        deal(whole, ranks[whole])
+        while (taken := self.queue.take()) is not None:
             rank, places = taken
-            held = of_rank[rank]
-            size, wait = len(held), 0
-            places.sort()
+            if len(places) < MANY:
+                places.sort()
+            else:
+                at = np.sort(np.array(places))
+                while len(at := at[ranks[at] == rank]) >= MANY:  # the others are stale
+                    of = owner[at]
+                    if SHARE * (1 + np.count_nonzero(of[1:] != of[:-1])) < len(at):
+                        break  # few pre-tokens hold them
+                    at, waits = ahead(rank, at)
+                    for k in waits.tolist():
+                        put(rank, k)
+                places = at.tolist()
+            wait = 0
             for i in places:
-                if not alive[i]:
-                    continue
+                if rank_of[i] != rank:
+                    continue  # stale
                 if i < wait:
                     put(rank, i)
                     continue
                 j = after[i]
-                if border[j]:
-                    continue
                 end = after[j]
-                if end - i != size or buf[i:end] != held:
-                    continue  # stale
-                alive[j] = 0
-                after[i] = end
-                before[end] = i
+                alive[j], rank_of[j], after[i], before[end], part[i] = 0, -1, end, i, rank
                 lower = False
-                if not border[end] and (r := get(buf[i : after[end]])) is not None:
-                    if b := bucket[r]:
-                        b.append(i)
+                if border[end] or (r := get(buf[i : after[end]])) is None:
+                    rank_of[i] = -1
+                else:
+                    rank_of[i] = r
+                    if held := bucket[r]:
+                        held.append(i)
                     else:
                         put(r, i)
                     lower = r < rank
-                if not border[i] and (r := get(buf[(h := before[i]) : end])) is not None:
-                    if b := bucket[r]:
-                        b.append(h)
+                if not border[i]:
+                    h = before[i]
+                    if (r := get(buf[h:end])) is None:
+                        rank_of[h] = -1
                     else:
-                        put(r, h)
-                    lower = lower or r < rank
+                        rank_of[h] = r
+                        if held := bucket[r]:
+                            held.append(h)
+                        else:
+                            put(r, h)
+                        lower = lower or r < rank
                 if lower:  # it comes first in this pre-token, whose other places wait
-                    wait = border.find(1, i + 1)
-        out, at = [], 0
-        for end in starts[1:].tolist():
-            ids = []
-            while at < end:
-                ids.append(ranks[buf[at : after[at]]])
-                at = after[at]
-            out.append(pack(f"<{len(ids)}I", *ids))
-        return out
+                    wait = int(starts[owner[i] + 1])
+        ids = parts[:n][lives]
+        if ids.max() >= self.n_ranks:
+            raise KeyError(bytes([int(ids.max()) - self.n_ranks]))
+        raw, edges = ids.astype("<u4").tobytes(), (4 * np.append(0, np.cumsum(lives))[starts]).tolist()
+        return [raw[x:y] for x, y in zip(edges, edges[1:], strict=False)]
 
     def learn(self, chunks: list[str]) -> set[str]:
         """Remembers the ids of each chunk and of its pre-tokens; those that aren't known are merged in one buffer. Returns all
@@ -180,11 +280,15 @@ class Coder:
         """For each text its ids, as little-endian unsigned 32-bit numbers."""
         split = []
         for t in texts:
-            parts = self.spaced(t) if t and self.odd(t) else (t or "").split(" ")
+            t = t or ""
             # the first chunk has no space before it; a text that starts with one has an empty first part
-            split.append([parts[0], *[" " + p for p in parts[1:]]])
+            if "\0" in t or self.odd(t):
+                parts = self.spaced(t)
+                split.append([parts[0], *[" " + p for p in parts[1:]]])
+            else:
+                split.append(t.replace(" ", "\0 ").split("\0"))
         known = self.known
-        new = self.learn(known.missing({c for s in split for c in s}))
+        new = self.learn(known.missing(set().union(*split)))
         get = known.young.__getitem__
         out = [b"".join(map(get, s)) for s in split]
         known.thin(new)
@@ -198,7 +302,10 @@ class Coder:
 
     def decode(self, ids: bytes) -> bytes:
         """The bytes that ids (little-endian unsigned 32-bit) stand for."""
-        return b"".join([self.tokens[i] for i in np.frombuffer(ids, "<u4").tolist()])
+        try:
+            return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
+        except (IndexError, TypeError):
+            raise KeyError("an id outside the vocabulary") from None
 
 
 def read_ranks(data: bytes) -> dict[bytes, int]:

@@ -75,3 +75,24 @@ def test_memory_lets_first_comers_go():
     take_turn("y")
     take_turn("y")
     assert gone == ["x"]
+
+
+def test_positions_of_a_rank_are_merged_at_once(monkeypatch):
+    rng = random.Random(8)
+    tokens = ["".join(rng.choices("aabetonrhi é漢", k=rng.randint(1, 30))).encode() for _ in range(1500)] + [b"a" * n for n in range(1, 40)]
+    want = [np.array(LIBRARY._core_bpe.encode_single_piece(t), "<u4").tobytes() for t in tokens]
+    for many in (1, 3, 100):  # also with every place of a rank merged as arrays
+        monkeypatch.setattr(bpe, "MANY", many)
+        assert CODER.merge(tokens) == want
+    looked, get = [], CODER.pairs.get
+    monkeypatch.setattr(CODER.pairs, "get", lambda a, b: looked.append(max(np.size(a), np.size(b))) or get(a, b))
+    CODER.merge(tokens)
+    assert max(looked) >= 500
+
+
+def test_pair_table():
+    rng = random.Random(9)
+    pairs = {(rng.randrange(60), rng.randrange(60)): k for k in range(2000)}
+    t = bpe.PairTable([a for a, _ in pairs], [b for _, b in pairs], list(pairs.values()))
+    every = [(a, b) for a in range(61) for b in range(61)]
+    assert t.get(*(np.array(x) for x in zip(*every))).tolist() == [pairs.get(p, -1) for p in every]
