@@ -42,6 +42,7 @@ SHALLOW, CELL = 4, 2048
 #: Bits of a map at least and at most (16 MB); between them 16 for each entry.
 BITS, MAX_BITS = 1 << 22, 1 << 27
 _TABLE = np.array([xxhash.xxh64_intdigest(bytes([b]), 5) for b in range(256)], np.uint64)
+_UPPER = np.uint64(0xFFFFFFFF00000000)
 _MULTIPLY = [np.uint64(pow(0x9E3779B97F4A7C15, 1 << k, 1 << 64)) for k in range(5)]
 KEYS = ["key", "c"]
 
@@ -60,24 +61,21 @@ def anchors(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         span *= 2
     h ^= h >> np.uint64(31)
     h *= np.uint64(0xD6E8FEB86659FD93)
-    low, at, span = h, np.arange(len(h), dtype=np.int32), 1
+    # the upper half of a hash above its place: the lesser of two numbers is the lesser hash's, or the left one's
+    low, span = h & _UPPER | np.arange(len(h), dtype=np.uint64), 1
     width = LENGTH - GRAM + 1
     while span * 2 <= width:
-        low, at = _lower(low, at, span)
+        low = np.minimum(low[:-span], low[span:])
         span *= 2
     if span < width:
-        low, at = _lower(low, at, width - span)
-    first = np.flatnonzero(np.diff(at, prepend=-1))
+        low = np.minimum(low[: span - width], low[width - span :])
+    at = low.astype(np.uint32)
+    first = np.append(0, np.flatnonzero(at[1:] != at[:-1]) + 1)
     last = np.append(first[1:], len(at)) - 1
     place = at[first].astype(np.int64)
     return h[place].view(np.int64), place, first, last
 
 
-def _lower(low: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    right = low[span:] < low[:-span]
-    return np.where(right, low[span:], low[:-span]), np.where(right, at[span:], at[:-span])
-
-
 def contexts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """key, c (digest of the context), lo (first window) and meta (anchor's place and last window, from lo) of each."""
     key, place, lo, hi = anchors(data)
@@ -173,12 +171,12 @@ def blind_sort(values: list[int]) -> list[list[int]]:
     return out
 
 
-def equal_windows(texts: list[bytes], places: np.ndarray, groups: np.ndarray) -> list[list[tuple[int, int]]]:
-    """Classes, of two or more, of equal LENGTH-byte suffix prefixes of the texts: (text, start). places: of the anchor in
-    each text; groups: texts with one anchor's hash. Windows that stand at one distance from such anchors are sorted
-    deep-shallow; no others can be equal."""
-    size = np.array([len(t) - LENGTH + 1 for t in texts])
-    begin = np.cumsum([0, *[len(t) for t in texts]])[:-1]
+def equal_places(texts: list[bytes], places: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Classes, of two or more, of equal LENGTH-byte suffix prefixes of the texts: the class's number, text and start of each, class
+    by class. places: of the anchor in each text; groups: texts with one anchor's hash. Windows that stand at one distance from
+    such anchors are sorted deep-shallow; no others can be equal."""
+    length = np.array([len(t) for t in texts])
+    size, begin = length - LENGTH + 1, np.cumsum(length) - length
     text = np.repeat(np.arange(len(texts)), size)
     start = np.arange(len(text)) - np.repeat(np.cumsum(size) - size, size)
     at = begin[text] + start
@@ -190,20 +188,50 @@ def equal_windows(texts: list[bytes], places: np.ndarray, groups: np.ndarray) ->
     order, group = shallow_groups(np.stack([word[at + 8 * k] for k in range(SHALLOW)], axis=1), groups[text] * 128 + places[text] - start)
     many = np.bincount(group)[group] > 1
     order, group = order[many], group[many]
-    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)).tolist()
-    where, out = at[order].tolist(), []
-    text, start = text[order].tolist(), start[order].tolist()
-    number, skip = int.from_bytes, 8 * SHALLOW
-    for a, b in zip(edges, edges[1:], strict=False):
-        if b - a == 2:  # a trie of two leaves
-            x, y = where[a], where[a + 1]
-            if joined[x + skip : x + LENGTH] == joined[y + skip : y + LENGTH]:
-                out.append([(text[a], start[a]), (text[a + 1], start[a + 1])])
-            continue
-        for same in blind_sort([number(joined[x + skip : x + LENGTH]) for x in where[a:b]]):
+    edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+    where, skip = at[order], 8 * SHALLOW
+    # tries of two leaves, side by side
+    pair = edges[:-1][np.diff(edges) == 2]
+    x, y = where[pair], where[pair + 1]
+    for k in [*range(skip, LENGTH - 8, 8), LENGTH - 8]:
+        same = word[x + k] == word[y + k]
+        pair, x, y = pair[same], x[same], y[same]
+    number, row = [np.repeat(pair, 2)], [np.stack([pair, pair + 1], axis=1).ravel()]
+    wide, value = np.diff(edges) > 2, int.from_bytes
+    names, rows = [], []
+    for a, b in zip(edges[:-1][wide].tolist(), edges[1:][wide].tolist(), strict=True):
+        for k, same in enumerate(blind_sort([value(joined[x + skip : x + LENGTH]) for x in where[a:b].tolist()])):
             if len(same) > 1:
-                out.append([(text[a + k], start[a + k]) for k in same])
-    return out
+                names += [a + k] * len(same)
+                rows += [a + z for z in same]
+    number, row = np.concatenate([*number, np.array(names, np.int64)]), np.concatenate([*row, np.array(rows, np.int64)])
+    by_class = np.argsort(number, kind="stable")
+    found = order[row[by_class]]
+    return number[by_class], text[found], start[found]
+
+
+def equal_windows(texts: list[bytes], places: np.ndarray, groups: np.ndarray) -> list[list[tuple[int, int]]]:
+    """equal_places, as lists of (text, start)."""
+    number, text, start = equal_places(texts, places, groups)
+    edges = np.flatnonzero(np.diff(number, prepend=-1, append=-1)).tolist()
+    both = list(zip(text.tolist(), start.tolist(), strict=True))
+    return [both[a:b] for a, b in zip(edges, edges[1:], strict=False)]
+
+
+def later_runs(number: np.ndarray, doc: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc, a, b: runs of windows, by document and start, of which an equal one (of the same class's number) stands earlier."""
+    order = np.lexsort((at, doc, number))
+    number, doc, at = number[order], doc[order], at[order]
+    new = np.diff(number, prepend=-1) != 0
+    first = np.flatnonzero(new)[np.cumsum(new) - 1]
+    gone = (doc != doc[first]) | (at != at[first])
+    doc, at = doc[gone], at[gone]
+    order = np.lexsort((at, doc))
+    doc, at = doc[order], at[order]
+    begin = np.ones(len(doc), bool)
+    begin[1:] = (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + 1)
+    begin = np.flatnonzero(begin)
+    return doc[begin], at[begin], at[np.append(begin[1:], len(at)) - 1] + 1 if len(at) else at
 
 
 # --- passes -----------------------------------------------------------------------------------------------------------
@@ -289,27 +317,18 @@ def sorted_spans(rows: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for tab in grouped_batches(batches, ["key"]):
-            text, doc, lo = tab.column("text").to_pylist(), tab.column("doc").to_pylist(), tab.column("lo").to_pylist()
+            text, doc, lo = tab.column("text").to_pylist(), tab.column("doc").to_numpy(), tab.column("lo").to_numpy().astype(np.int64)
             number, place = group_numbers(tab, ["key"]), tab.column("meta").to_numpy().astype(np.int64) >> 7
             edges = np.append(np.flatnonzero(np.diff(number, prepend=-1)), len(number)).tolist()
-            out: list[tuple[int, int, int]] = []
             first = 0
             for end in edges[1:]:  # some groups at a time, so that memory stays small
                 if end - first < 4 * CELL and end != edges[-1]:
                     continue
-                for same in equal_windows(text[first:end], place[first:end], number[first:end]):
-                    at = sorted((doc[first + t], lo[first + t] + s) for t, s in same)
-                    out += [(d, s, s + 1) for d, s in at if (d, s) != at[0]]
+                same, at, start = equal_places(text[first:end], place[first:end], number[first:end])
+                if len(same):
+                    runs = later_runs(same, doc[first + at], lo[first + at] + start)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in runs], ["doc", "a", "b"])
                 first = end
-            if out:
-                out.sort()
-                merged = [list(out[0])]
-                for d, a, b in out[1:]:
-                    if d == merged[-1][0] and a <= merged[-1][2]:
-                        merged[-1][2] = max(b, merged[-1][2])
-                    else:
-                        merged.append([d, a, b])
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*merged, strict=True)], ["doc", "a", "b"])
 
     return rows.select("key", "doc", "lo", "meta", "text").repartition("key").sortWithinPartitions("key").mapInArrow(run, "doc bigint, a bigint, b bigint")
 

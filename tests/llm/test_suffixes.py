@@ -98,3 +98,42 @@ def test_rows_that_share_an_id_are_documents_of_their_own(spark, shared_ids):
         kept = {k: [t for i, t, _ in got if i == k] for k in "1234"}
         assert kept["1"] == [a] and sorted(kept["2"]) == ["", "", b] and sorted(kept["3"]) in (["", c + "\n"], ["\n", c])
         assert sorted(len(t) for t in kept["4"]) == [0, 0, 399] and sum(n for *_, n in got) == sum(len((r["text"] or "").encode()) for r in docs.collect())
+
+
+def test_later_windows_by_arrays():
+    rng = random.Random(31)
+    base = bytes(rng.choices(b"abcd", k=400))
+    texts, docs, lo, places = [], [], [], []
+    for k in range(60):  # contexts of one anchor: the bytes from 200 on, other bytes around
+        left, right = rng.randint(0, 68), rng.randint(100, 160)
+        t = bytearray(base[200 - left : 200 + right])
+        for _ in range(rng.randint(0, 2)):
+            t[rng.randrange(len(t))] = 120 + k % 3
+        texts.append(bytes(t))
+        docs.append(rng.randint(1, 20))
+        lo.append(1000 * k)
+        places.append(left)
+    number, text, start = sx.equal_places(texts, np.array(places), np.zeros(60, np.int64))
+    windows = {}
+    for k, t in enumerate(texts):
+        for s in range(len(t) - 99):
+            windows.setdefault((places[k] - s, t[s : s + 100]), []).append((k, s))
+    assert {frozenset(x) for x in sx.equal_windows(texts, np.array(places), np.zeros(60, np.int64))} == {frozenset(x) for x in windows.values() if len(x) > 1}
+    want = {(docs[k], lo[k] + s) for x in windows.values() for k, s in sorted(x, key=lambda y: (docs[y[0]], lo[y[0]] + y[1]))[1:]}
+    runs = list(zip(*(x.tolist() for x in sx.later_runs(number, np.array(docs)[text], np.array(lo)[text] + start))))
+    assert {(d, x) for d, a, b in runs for x in range(a, b)} == want and len(want) > 200
+    assert all(d < e or d == e and b < a for (d, _, b), (e, a, _) in zip(runs, runs[1:]))
+
+
+def test_anchors_are_the_same_wherever_a_window_stands():
+    rng = random.Random(32)
+    part = bytes(rng.choices(b"ab ", k=300)) + b"x" * 200 + bytes(rng.choices(b"ab ", k=300))
+    places = []
+    for before in (0, 7, 70_000):
+        of = {}
+        for key, place, first, last in zip(*(x.tolist() for x in sx.anchors(bytes(rng.choices(b"ab ", k=before)) + part))):
+            for s in range(max(first, before), last + 1):
+                of[s - before] = (key, place - before)
+        assert len(of) == len(part) - 99 and all(s <= p <= s + 68 for s, (_, p) in of.items())
+        places.append(of)
+    assert places[0] == places[1] == places[2]
