@@ -69,13 +69,17 @@ def measure(text: bytes | None) -> tuple[int, int, int, int, int, int]:
 
 
 def features_of(text: Column) -> Column:
+    """FEATURES of each text. Marked as nondeterministic (which it isn't), so that the planner doesn't move a condition on it below a
+    join and measure each text once more there: both would run in one task, each in a worker process of its own, and worker
+    processes stay for what comes later."""
+
     @F.arrow_udf(FEATURES)
     def run(texts: pa.Array) -> pa.Array:
         take_turn("quality")
         rows = np.array([measure(t.as_py()) for t in texts], np.int64).reshape(-1, 6)
         return pa.StructArray.from_arrays([pa.array(c) for c in rows.T.copy()], [x.split()[0] for x in FEATURES.split(", ")])
 
-    return run(text.cast("binary"))
+    return run.asNondeterministic()(text.cast("binary"))
 
 
 def measured(docs: DataFrame, text_col: str) -> Column:

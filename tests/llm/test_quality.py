@@ -97,3 +97,11 @@ def test_verdict_equals_a_plain_fit(spark):
                 cut[lang, rule] = c
     want = {i: plain(t)[0] >= 20 and 100 * plain(t)[4] <= 30 * plain(t)[0] and all(s <= cut[la, k] for k, s in enumerate(steps(t))) for i, t, la in docs}
     assert got == want and any(c < quality.GRID for c in cut.values()) and not all(want.values())
+
+
+def test_each_text_is_measured_once(spark):
+    """Beside the cutoffs, which are written: a second measure in the same tasks takes a second worker process for each of them."""
+    docs = spark.createDataFrame([(1, "a b c", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    plan = quality.keep_good(docs, labels)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
